@@ -67,11 +67,12 @@ def confirmed(unlike: DataFrame, window: int) -> DataFrame:
     return met.groupBy("at.ah", "at.u").agg(F.collect_list("at.off").alias("offs"))
 
 
-def located(units: DataFrame, patterns: DataFrame, window: int, n_units: int) -> DataFrame:
+def located(scratch: Scratch, units: DataFrame, patterns: DataFrame, window: int, n_units: int) -> DataFrame:
     """(ah, u, b, e): spans of each stretch that the automata of its shard cover."""
     shards = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_units // SHARD_STRETCHES))
     shard = F.expr(f"CAST(pmod(xxhash64(ah), {shards}) AS INT)").alias("shard")
     texts, keys = grid(
+        scratch,
         units.select(shard, "ah", "u", "words"),
         patterns.select(shard, "u", "words", "offs"),
         ["shard"], SHARD_STRETCHES, SHARD_PATTERNS, ("u", "u"), ("1", "greatest(1, coalesce(size(offs), 1))"),
@@ -112,7 +113,7 @@ def phrase_spans(docs: DataFrame, scratch: Scratch, window: int, gram: int) -> D
     offs = confirmed(units.filter("kinds > 1"), window)
     alike = units.filter("kinds = 1").select("ah", "u", "words", F.lit(None).cast("array<int>").alias("offs"))
     patterns = scratch.keep(alike.union(units.join(offs, ["ah", "u"]).select("ah", "u", "words", "offs")), "patterns")
-    spans = located(units, patterns, window, units.count()).groupBy("ah", "u").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
+    spans = located(scratch, units, patterns, window, units.count()).groupBy("ah", "u").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
     met = found.join(scratch.keep(spans, "located"), ["ah", "u"]).select("doc_id", "th", "s", F.explode("spans").alias("x"))
     return met.selectExpr("doc_id", "th", "s + x.b AS b", "s + x.e AS e")
 

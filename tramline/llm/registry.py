@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from tramline.llm.mixing_model import op1_language_scores
 from tramline.llm.phrases import op5_repeated_phrases
 from tramline.llm.simhash import op3_simhash_near_dedup
 from tramline.llm.substrings import op8_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op5_repeated_phrases, op8_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_scores, op3_simhash_near_dedup, op5_repeated_phrases, op8_suffix_dedup)}
 
 ORACLES: dict[str, str] = {}

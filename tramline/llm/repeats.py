@@ -129,12 +129,13 @@ def recurring(scratch: Scratch, docs: DataFrame, width: int, gram: int, words: b
     joins are of the kind whose large keys adaptive execution splits.
     """
     every = scratch.keep(blocks(docs, width, gram, words), "blocks")
-    anchors = every.groupBy("ah").count().filter("count > 1").select("ah")
+    # kept, so that the join reads plain shuffles, whose large keys can be split; the same below
+    anchors = scratch.keep(every.groupBy("ah").count().filter("count > 1").select("ah"), "anchors")
     found = scratch.keep(every.join(anchors, "ah", "left_semi"), "found")
     scratch.drop("blocks")
     kinds = found.groupBy("ah", "u").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "s", "n")).alias("at"))
     kinds = scratch.keep(kinds, "kinds")
-    mixed_anchors = kinds.groupBy("ah").agg(F.count("*").alias("kinds"))
+    mixed_anchors = scratch.keep(kinds.groupBy("ah").agg(F.count("*").alias("kinds")), "mixed")
     return found, scratch.keep(kinds.join(mixed_anchors, "ah"), "distinct")
 
 

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.llm.common import Scratch
 
-def grid(left: DataFrame, right: DataFrame, key: list[str], left_most: int, right_most: int, by: tuple[str, str], weight: tuple[str, str] = ("1", "1")) -> tuple[DataFrame, DataFrame]:
+
+def grid(scratch: Scratch, left: DataFrame, right: DataFrame, key: list[str], left_most: int, right_most: int, by: tuple[str, str], weight: tuple[str, str] = ("1", "1")) -> tuple[DataFrame, DataFrame]:
     """Both tables with gl and gr: every left row meets every right row of its key in just one (key, gl, gr).
 
     A key's left rows are dealt to ceil(weight / left_most) parts by the column by[0], each of which meets copies of all
     parts of its right rows, and the other way round. Keys without rows on both sides go. The parts' numbers come from
-    counts combined before the shuffle and are joined, never collected.
+    counts combined before the shuffle and are a joined table, never collected.
     """
     sizes_l = left.groupBy(*key).agg(F.expr(f"CAST(ceil(sum({weight[0]}) / {left_most}) AS INT)").alias("_nl"))
     sizes_r = right.groupBy(*key).agg(F.expr(f"CAST(ceil(sum({weight[1]}) / {right_most}) AS INT)").alias("_nr"))
-    sizes = sizes_l.join(sizes_r, key)
+    sizes = scratch.keep(sizes_l.join(sizes_r, key), "sizes")
 
     def dealt(df: DataFrame, own: str, other: str, column: str) -> DataFrame:
         parts, copies = f"_n{own[1]}", f"_n{other[1]}"

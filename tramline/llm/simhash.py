@@ -90,8 +90,8 @@ def links(fps: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> DataFra
         raise ValueError("crowded cells are linked exactly at distance 2 only")
     grid = fps.select("fp", embedded(F.col("fp")).alias("v")).select("fp", "v", F.explode(cells(F.col("v"), distance)).alias("cell"))
     grid = scratch.keep(grid.select("fp", "v", "cell.choice", "cell.hash"), "grid")
-    sizes = grid.groupBy("choice", "hash").count()
-    few = sizes.filter(f"count BETWEEN 2 AND {PAIRED_MOST}").select("choice", "hash")
+    sizes = scratch.keep(grid.groupBy("choice", "hash").count().filter("count > 1"), "sizes")
+    few = sizes.filter(f"count <= {PAIRED_MOST}").select("choice", "hash")
     paired = grid.join(few, ["choice", "hash"], "left_semi")
     a, b = paired.alias("a"), paired.alias("b")
     near = (manhattan(F.col("a.v"), F.col("b.v")) <= distance) & (hamming(F.col("a.fp"), F.col("b.fp")) <= distance)
@@ -102,6 +102,7 @@ def links(fps: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> DataFra
     flips = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << k if k < 63 else -(1 << 63))) for k in range(64)]]
     near_by = scratch.keep(crowded, "crowded").select("fp", F.explode(F.array(*flips)).alias("via"))
     hubs = near_by.groupBy("via").agg(F.min("fp").alias("b"), F.count("*").alias("n")).filter("n > 1").select("via", "b")
+    hubs = scratch.keep(hubs, "hubs")
     through = near_by.join(hubs, "via").filter("fp <> b").select(F.col("fp").alias("a"), "b")
     return scratch.keep(pairs.union(through).distinct(), "links")
 
@@ -116,7 +117,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
     edges, before, turn = scratch.keep(edges, f"{name}-0"), None, 0
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = scratch.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-least-{turn}")
         large = both.filter("v > u").join(least, "u").selectExpr("v AS a", "m AS b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
