@@ -190,7 +190,7 @@ def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
             st, gate = (v >> 2).astype(np.float32) * np.float32(1 / 256), own * 4 + (v & 3)
             x += weights[k, 4 * lo :][gate] * st
             parts.append((st, gate))
-        p = np.clip(1 / (1 + np.exp(-x)), np.float32(LEAST_P), np.float32(1 - LEAST_P))
+        p = np.clip(1 / (1 + np.exp(np.clip(-x, -30, 30))), np.float32(LEAST_P), np.float32(1 - LEAST_P))
         score[lo : lo + width] += np.bincount(own, np.log2(np.where(bit, p, 1 - p)), width)
         error = bit - p
         for k, (st, gate) in enumerate(parts):
