@@ -20,11 +20,11 @@ from tramline.llm.common import cut, doc_texts, flat, id_crc32, mixed, table, wo
 from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
 
 BUCKETS, SIZE = 1 << 17, 8
-GRAMS = (3, 4, 5, 6)
-PASSAGE = 16
+GRAMS = (3, 4, 5)
+PASSAGE = 8
 #: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 24_000_000
-EPOCHS, BATCH, RATE = 3, 512, 0.05
+EPOCHS, BATCH, RATE = 2, 512, 0.05
 
 #: Lower case for ASCII bytes; other bytes stay.
 FOLD = np.arange(256, dtype=np.uint8)
