@@ -1,6 +1,477 @@
-"""Queries by name, and the same in DuckDB SQL."""
+"""Queries by name over the transit views, and the same in DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tramline.functions.times import schedule_offset
+from tramline.operators import deviation, extensions, quality, stats, stops, validate
+from tramline.plans import tables as t
+from tramline.sources import messages
+from tramline.sources.polling import ALARM, WAIT, WAIT_MOST
+from tramline.streaming import live
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Events are sparse, so outages are looked for by hour here; the feed's own bucket is a minute.
+BUCKET = "hour"
+NTZ = "timestamp_ntz"
+GAP = quality.GAP
+BASE = (t.PINGS, t.DEDUPED)
+GAPS = (*BASE, t.LAGGED, t.GAPS)
+MOVES = (*GAPS, t.DWELL, t.MOVES)
+DEVIATIONS = (*BASE, t.STOP_TIMES, t.DEVIATIONS)
+
+
+def query(select: str | None = None, *with_: str) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if select is not None:
+            ORACLES[f.__name__] = t.sql(select, *with_) if with_ else select
+        return f
+
+    return register
+
+
+def deduped(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.latest(t.pings(spark, sf), ["event_id"])
+
+
+def gap_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.gaps(deduped(spark, sf))
+
+
+def dwell_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.with_dwell(gap_rows(spark, sf))
+
+
+def moves(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.movement(dwell_rows(spark, sf))
+
+
+def deviation_rows(spark: SparkSession, sf: str, zone: str = "UTC") -> DataFrame:
+    rows = deduped(spark, sf).withColumn("actual", F.date_trunc("SECOND", "ingested_at"))
+    return deviation.deviations(rows, t.stop_times(spark, sf), zone, "actual")
+
+
+def raw_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as decoded entities, with positions off the globe, missing ids and odd timestamps among them."""
+    null = "CAST(NULL AS STRING)"
+    return t.read(spark, sf, "events").selectExpr(
+        "CAST(event_id AS STRING) AS id",
+        f"""named_struct('trip', named_struct('trip_id', CAST(user_id AS STRING), 'route_id', concat('R', user_id % 10), 'schedule_relationship', {null}),
+        'vehicle', named_struct('id', CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 17 <> 0 THEN CAST(user_id AS STRING) END, 'label', {null}),
+        'position', named_struct('latitude', CASE WHEN event_id % 19 <> 0 THEN value - 10 END, 'longitude', -71D, 'bearing', 450D, 'speed', CAST(NULL AS DOUBLE)),
+        'current_stop_sequence', CAST(NULL AS INT), 'stop_id', {null}, 'current_status', event_type,
+        'timestamp', CASE event_id % 23 WHEN 0 THEN '' WHEN 1 THEN 'abc' WHEN 2 THEN NULL ELSE CAST(unix_seconds(CAST(ts AS TIMESTAMP)) AS STRING) END) AS vehicle""",
+    )
+
+
+ENTITIES = """entities AS (SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN value - 10 END AS lat, CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 17 <> 0 THEN CAST(user_id AS VARCHAR) END AS vid,
+  CASE event_id % 23 WHEN 0 THEN 0 WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE floor(epoch(ts)) END AS sec, 'R' || (user_id % 10) AS route_id, event_type FROM events),
+checked AS (SELECT *, CASE WHEN lat IS NULL OR NOT lat BETWEEN -90 AND 90 THEN 'position' WHEN coalesce(vid, '') = '' THEN 'vehicle_id' WHEN sec IS NULL THEN 'timestamp' END AS reason FROM entities)"""
+
+
+# validation and messages
+
+
+@query("SELECT vid AS vehicle_id, route_id, lat, CAST(-71 AS DOUBLE) AS lon, make_timestamp(CAST(sec AS BIGINT) * 1000000) AS \"timestamp\", CAST(450 AS DOUBLE) AS bearing, event_type AS current_status FROM checked WHERE reason IS NULL", ENTITIES)
+def p_valid_telemetry(spark: SparkSession, sf: str) -> DataFrame:
+    rows = messages.flattened(validate.telemetry(raw_entities(spark, sf)))
+    return rows.select("vehicle_id", "route_id", "lat", "lon", F.col("timestamp").cast(NTZ).alias("timestamp"), "bearing", "current_status")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n FROM entities WHERE lat BETWEEN -90 AND 90", ENTITIES)
+def p_valid_position(spark: SparkSession, sf: str) -> DataFrame:
+    place = F.col("vehicle.position")
+    return raw_entities(spark, sf).filter(validate.valid_position(place["latitude"], place["longitude"])).agg(F.count("*").alias("n"))
+
+
+@query("SELECT coalesce(reason, 'valid') AS reason, CAST(count(*) AS BIGINT) AS n FROM checked GROUP BY 1", ENTITIES)
+def p_reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.checked(raw_entities(spark, sf)).groupBy(F.coalesce("reject_reason", F.lit("valid")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS entities, CAST(count(reason) AS BIGINT) AS skipped FROM checked", ENTITIES)
+def p_skipped(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.skipped(raw_entities(spark, sf))
+
+
+@query()
+def p_envelope(spark: SparkSession, sf: str) -> DataFrame:
+    return messages.envelope(validate.telemetry(raw_entities(spark, sf)))
+
+
+@query("SELECT vid AS vehicle_id, CAST(-71 AS DOUBLE) AS lon, lat, make_timestamp(CAST(sec AS BIGINT) * 1000000) AS \"timestamp\" FROM checked WHERE reason IS NULL", ENTITIES)
+def s_json_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """To messages and back: the JSON round trip keeps every value."""
+    out = messages.pings(messages.envelope(validate.telemetry(raw_entities(spark, sf))))
+    return out.select("vehicle_id", "lon", "lat", F.col("timestamp").cast(NTZ).alias("timestamp"))
+
+
+# dedup and gaps
+
+
+@query('SELECT vehicle_id, "timestamp", ingested_at, event_id, current_status, stop_id FROM deduped', *BASE)
+def w_dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
+    return deduped(spark, sf).select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"), F.col("ingested_at").cast(NTZ).alias("ingested_at"), "event_id", "current_status", "stop_id")
+
+
+@query("SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_deduped, round(100 * (1 - count(*) / sum(n)), 6) AS pct_removed FROM (SELECT count(*) AS n FROM pings GROUP BY vehicle_id, \"timestamp\")", t.PINGS)
+def a_dedup_report(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.dedup_report(t.pings(spark, sf))
+
+
+@query(f'SELECT vehicle_id, "timestamp", prev_timestamp, prev_status, g AS {GAP} FROM gaps', *GAPS)
+def w_lag_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return gap_rows(spark, sf).select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"), F.col("prev_timestamp").cast(NTZ).alias("prev_timestamp"), "prev_status", GAP)
+
+
+DESCRIBE = "CAST(count({0}) AS BIGINT) AS count, round(avg({0}), 6) AS mean, round(stddev_samp({0}), 6) AS std, round(CAST(min({0}) AS DOUBLE), 6) AS min, round(quantile_cont(CAST({0} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({0} AS DOUBLE), 0.5), 6) AS p50, round(quantile_cont(CAST({0} AS DOUBLE), 0.75), 6) AS p75, round(CAST(max({0}) AS DOUBLE), 6) AS max"
+
+
+def quantile_sql(column: str, qs: tuple[float, ...]) -> str:
+    return ", ".join(f"round(quantile_cont(CAST({column} AS DOUBLE), {q}), 6) AS {stats.quantile_name(q)}" for q in qs)
+
+
+GAP_QS, LATENCY_QS, DEVIATION_QS = (0.5, 0.75, 0.9, 0.95, 0.99), (0.5, 0.9, 0.95, 0.99), (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
+
+
+@query(f"SELECT {DESCRIBE.format('g')} FROM gaps", *GAPS)
+def a_gap_describe(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.described(gap_rows(spark, sf), GAP)
+
+
+@query(f"SELECT {quantile_sql('g', GAP_QS)} FROM gaps", *GAPS)
+def a_gap_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.quantiles(gap_rows(spark, sf), GAP, GAP_QS)
+
+
+@query("SELECT round(quantile_cont(CAST(g AS DOUBLE), 0.99), 6) AS gap_quantile, round(quantile_cont(CAST(g AS DOUBLE), 0.99) + 15, 6) AS threshold_seconds FROM gaps", *GAPS)
+def q_silent_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.threshold(gap_rows(spark, sf))
+
+
+# displacement and dwells
+
+
+@query('SELECT vehicle_id, "timestamp", round(d, 6) AS displacement_meters, likely_dwell FROM dwell', *GAPS, t.DWELL)
+def f_displacement(spark: SparkSession, sf: str) -> DataFrame:
+    return dwell_rows(spark, sf).select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"), F.round("displacement_meters", 6).alias("displacement_meters"), "likely_dwell")
+
+
+@query("SELECT CAST(count(*) FILTER (likely_dwell) AS BIGINT) AS n_dwell, CAST(count(*) AS BIGINT) AS n_gaps, round(100 * count(*) FILTER (likely_dwell) / count(*), 6) AS pct_dwell FROM dwell", *GAPS, t.DWELL)
+def p_dwell_split(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.dwell_share(dwell_rows(spark, sf))
+
+
+@query(f"SELECT likely_dwell, {DESCRIBE.format('g')} FROM dwell GROUP BY likely_dwell", *GAPS, t.DWELL)
+def a_dwell_movement_describe(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.described(dwell_rows(spark, sf), GAP, ["likely_dwell"])
+
+
+@query(f"SELECT {quantile_sql('g', GAP_QS)} FROM moves", *MOVES)
+def a_movement_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.quantiles(moves(spark, sf), GAP, GAP_QS)
+
+
+# outages
+
+CUTS = " UNION ALL ".join(f"SELECT CAST({q} AS DOUBLE) AS q, quantile_cont(CAST(g AS DOUBLE), {q}) AS c FROM moves" for q in quality.SWEEP)
+SWEEP = f"""cuts AS ({CUTS}),
+large AS (SELECT q, c, vehicle_id, date_trunc('hour', prev_timestamp) AS m FROM moves JOIN cuts ON g >= c),
+by_minute AS (SELECT q, c, m, count(*) AS n, count(DISTINCT vehicle_id) AS v FROM large GROUP BY q, c, m)"""
+SWEPT = "SELECT q AS cutoff_quantile, round(first(c), 1) AS cutoff_seconds, CAST(sum(n) AS BIGINT) AS n_large_gaps, CAST(max(v) AS BIGINT) AS max_vehicles_in_one_minute, first(m ORDER BY v DESC, m) AS busiest_minute FROM by_minute GROUP BY q"
+
+
+@query(SWEPT, *MOVES, SWEEP)
+def a_cluster_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.cluster_sweep(moves(spark, sf), bucket=BUCKET).withColumn("busiest_minute", F.col("busiest_minute").cast(NTZ))
+
+
+@query(f"SELECT * FROM ({SWEPT}) WHERE max_vehicles_in_one_minute >= 5", *MOVES, SWEEP)
+def p_cluster_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.flagged(quality.cluster_sweep(moves(spark, sf), bucket=BUCKET)).withColumn("busiest_minute", F.col("busiest_minute").cast(NTZ))
+
+
+@query(SWEPT, *MOVES, SWEEP)
+def u_sweep_union(spark: SparkSession, sf: str) -> DataFrame:
+    """The sweep as a union of one plan for each quantile."""
+    rows = moves(spark, sf)
+    out = None
+    for q in quality.SWEEP:
+        one = quality.cluster_sweep(rows, [q], BUCKET)
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("busiest_minute", F.col("busiest_minute").cast(NTZ))
+
+
+WINDOW = """suspect AS (SELECT m, count(DISTINCT vehicle_id) AS v FROM (SELECT vehicle_id, date_trunc('hour', prev_timestamp) AS m FROM moves WHERE g >= (SELECT quantile_cont(CAST(g AS DOUBLE), 0.9) FROM moves)) GROUP BY m HAVING count(DISTINCT vehicle_id) >= 5),
+outage AS (SELECT min(m) AS s, max(m) AS e, count(*) AS n FROM suspect)"""
+
+
+@query("SELECT m AS minute, CAST(v AS BIGINT) AS n_vehicles FROM suspect", *MOVES, WINDOW)
+def p_suspect_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.suspect_minutes(moves(spark, sf), 0.9, bucket=BUCKET).select(F.col("minute").cast(NTZ).alias("minute"), "n_vehicles")
+
+
+@query("SELECT s AS window_start, e AS window_end, CAST(n AS BIGINT) AS n_minutes, coalesce((epoch(e) - epoch(s)) / 3600 + 1 = n, false) AS is_contiguous FROM outage", *MOVES, WINDOW)
+def w_outage_window(spark: SparkSession, sf: str) -> DataFrame:
+    out = quality.outage_window(moves(spark, sf), 0.9, bucket=BUCKET)
+    return out.withColumns({c: F.col(c).cast(NTZ) for c in ("window_start", "window_end")})
+
+
+CLEAN = "clean AS (SELECT moves.* FROM moves, outage WHERE s IS NULL OR NOT coalesce(prev_timestamp BETWEEN s AND e + INTERVAL 1 HOUR, false))"
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(g) AS BIGINT) AS total FROM clean", *MOVES, WINDOW, CLEAN)
+def p_outside_outage(spark: SparkSession, sf: str) -> DataFrame:
+    rows = moves(spark, sf)
+    out = quality.outside_outage(rows, quality.outage_window(rows, 0.9, bucket=BUCKET), BUCKET)
+    return out.agg(F.count("*").alias("n"), F.sum(GAP).alias("total"))
+
+
+@query("SELECT round(quantile_cont(CAST(g AS DOUBLE), 0.99), 6) AS gap_quantile, round(quantile_cont(CAST(g AS DOUBLE), 0.99) + 15, 6) AS threshold_seconds FROM clean", *MOVES, WINDOW.replace("0.9)", "0.99)"), CLEAN)
+def q_clean_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.clean_threshold(moves(spark, sf), bucket=BUCKET)
+
+
+# side analyses
+
+
+@query("SELECT route_id, CAST(count(stop_id) AS BIGINT) AS reported, CAST(count(*) AS BIGINT) AS total, round(1.0 - count(stop_id) / count(*), 6) AS pct_missing FROM deduped GROUP BY route_id", *BASE)
+def a_null_rate_by_route(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.null_rate_by_route(deduped(spark, sf))
+
+
+@query("SELECT current_status, CAST(count(*) AS BIGINT) AS n, round(100 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM deduped WHERE current_status IS NOT NULL GROUP BY current_status", *BASE)
+def a_status_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.status_distribution(deduped(spark, sf))
+
+
+LATENCY = "(epoch_us(ingested_at) - epoch_us(\"timestamp\")) / CAST(1000000 AS DOUBLE)"
+
+
+@query(f"SELECT {quantile_sql(LATENCY, LATENCY_QS)} FROM deduped", *BASE)
+def a_latency(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.quantiles(quality.with_latency(deduped(spark, sf)), "latency_seconds", LATENCY_QS)
+
+
+@query(f"SELECT {DESCRIBE.format('x')} FROM (SELECT {LATENCY} AS x FROM deduped)", *BASE)
+def a_latency_describe(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.described(quality.with_latency(deduped(spark, sf)), "latency_seconds")
+
+
+# stops
+
+
+@query('SELECT d.vehicle_id, d."timestamp", d.stop_id, s.stop_name, s.zone FROM deduped d LEFT JOIN stops s ON d.stop_id = s.stop_id', *BASE, t.STOPS)
+def j_stop_enrichment(spark: SparkSession, sf: str) -> DataFrame:
+    return stops.enriched(deduped(spark, sf), t.stops(spark, sf)).select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"), "stop_id", "stop_name", "zone")
+
+
+@query("SELECT CAST(count(stop_id) AS BIGINT) AS n_with_stop, CAST(count(*) AS BIGINT) AS n_pings, round(100 * count(stop_id) / count(*), 6) AS pct_with_stop FROM deduped", *BASE)
+def a_stop_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return stops.coverage(deduped(spark, sf))
+
+
+STEPS = 'steps AS (SELECT *, CASE WHEN trip_id IS NOT NULL THEN current_stop_sequence - lag(current_stop_sequence) OVER (PARTITION BY vehicle_id, trip_id ORDER BY "timestamp") END AS diff FROM deduped WHERE current_stop_sequence IS NOT NULL)'
+
+
+@query("SELECT CAST(count(*) FILTER (diff < 0) AS BIGINT) AS n_backwards, CAST(count(*) AS BIGINT) AS n_observations, round(100 * count(*) FILTER (diff < 0) / count(*), 6) AS pct_backwards FROM steps", *BASE, STEPS)
+def w_sequence_backwards(spark: SparkSession, sf: str) -> DataFrame:
+    return stops.backward_share(stops.sequence_steps(deduped(spark, sf)))
+
+
+@query('SELECT vehicle_id, trip_id, "timestamp", current_stop_sequence, CAST(diff AS INT) AS seq_diff FROM steps WHERE diff < 0', *BASE, STEPS)
+def p_backward_steps(spark: SparkSession, sf: str) -> DataFrame:
+    rows = stops.sequence_steps(deduped(spark, sf)).filter("seq_diff < 0")
+    return rows.select("vehicle_id", "trip_id", F.col("timestamp").cast(NTZ).alias("timestamp"), "current_stop_sequence", "seq_diff")
+
+
+NULL_TRIPS = "null_trips AS (SELECT DISTINCT trip_id FROM deduped WHERE stop_id IS NULL AND trip_id IS NOT NULL)"
+
+
+@query("SELECT trip_id FROM null_trips", *BASE, NULL_TRIPS)
+def a_distinct_trips(spark: SparkSession, sf: str) -> DataFrame:
+    return stops.null_stop_trips(deduped(spark, sf))
+
+
+@query(
+    "SELECT CAST(count(*) AS BIGINT) AS total_null_stop_trips, CAST(count(s.trip_id) AS BIGINT) AS resolvable_in_static_schedule, round(100 * count(s.trip_id) / count(*), 6) AS pct_resolvable FROM null_trips n LEFT JOIN (SELECT DISTINCT trip_id FROM stop_times) s ON n.trip_id = s.trip_id",
+    *BASE, NULL_TRIPS, t.STOP_TIMES,
+)
+def j_fallback_feasibility(spark: SparkSession, sf: str) -> DataFrame:
+    return stops.feasibility(stops.null_stop_trips(deduped(spark, sf)), t.stop_times(spark, sf))
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n FROM deduped WHERE NOT coalesce(route_id LIKE 'R9%', false)", *BASE)
+def p_without_shuttles(spark: SparkSession, sf: str) -> DataFrame:
+    return stops.without_shuttles(deduped(spark, sf), "R9").agg(F.count("*").alias("n"))
+
+
+# schedule deviation
+
+CROSSERS = "SELECT DISTINCT trip_id FROM stop_times WHERE (CAST(split_part(arrival_time, ':', 1) AS INT) >= 24 OR CAST(split_part(departure_time, ':', 1) AS INT) >= 24) AND trip_id IN (SELECT trip_id FROM deduped)"
+
+
+@query(CROSSERS, *BASE, t.STOP_TIMES)
+def p_midnight_crossers(spark: SparkSession, sf: str) -> DataFrame:
+    return deviation.midnight_crossers(t.stop_times(spark, sf), deduped(spark, sf))
+
+
+@query(f"SELECT CAST(count(*) AS BIGINT) AS n_trips FROM ({CROSSERS})", *BASE, t.STOP_TIMES)
+def a_midnight_trip_count(spark: SparkSession, sf: str) -> DataFrame:
+    return deviation.midnight_crossers(t.stop_times(spark, sf), deduped(spark, sf)).agg(F.count_distinct("trip_id").alias("n_trips"))
+
+
+@query(
+    "SELECT trip_id, stop_sequence, departure_time, CAST(split_part(departure_time, ':', 1) AS BIGINT) * 3600 + CAST(split_part(departure_time, ':', 2) AS BIGINT) * 60 + CAST(split_part(departure_time, ':', 3) AS BIGINT) AS offset_seconds FROM stop_times",
+    t.STOP_TIMES,
+)
+def f_gtfs_offset(spark: SparkSession, sf: str) -> DataFrame:
+    return t.stop_times(spark, sf).select("trip_id", "stop_sequence", "departure_time", schedule_offset(F.col("departure_time")).alias("offset_seconds"))
+
+
+@query("SELECT vehicle_id, trip_id, event_id, current_stop_sequence, arrival_time, departure_time FROM matched", *DEVIATIONS)
+def j_schedule_join(spark: SparkSession, sf: str) -> DataFrame:
+    return deviation.scheduled(deduped(spark, sf), t.stop_times(spark, sf)).select("vehicle_id", "trip_id", "event_id", "current_stop_sequence", "arrival_time", "departure_time")
+
+
+@query("SELECT vehicle_id, event_id, scheduled_time_str, scheduled_datetime FROM deviations", *DEVIATIONS)
+def f_nearest_anchor(spark: SparkSession, sf: str) -> DataFrame:
+    return deviation_rows(spark, sf).select("vehicle_id", "event_id", "scheduled_time_str", F.col("scheduled_datetime").cast(NTZ).alias("scheduled_datetime"))
+
+
+ZONED = """zoned AS (SELECT *, CAST(epoch(timezone('America/New_York', date_trunc('day', timezone('America/New_York', timezone('UTC', actual))))) AS BIGINT) + same - CAST(epoch(date_trunc('day', actual)) AS BIGINT) AS here FROM anchored),
+zoned_at AS (SELECT *, CASE WHEN abs(a - here) <= abs(a - here + 86400) AND abs(a - here) <= abs(a - here - 86400) THEN here WHEN abs(a - here + 86400) <= abs(a - here - 86400) THEN here - 86400 ELSE here + 86400 END AS sched FROM zoned)"""
+
+
+@query("SELECT vehicle_id, event_id, scheduled_time_str, make_timestamp(sched * 1000000) AS scheduled_datetime FROM zoned_at", *DEVIATIONS, ZONED)
+def f_nearest_anchor_local(spark: SparkSession, sf: str) -> DataFrame:
+    """With the service day of the agency's zone."""
+    rows = deviation_rows(spark, sf, deviation.AGENCY_ZONE)
+    return rows.select("vehicle_id", "event_id", "scheduled_time_str", F.col("scheduled_datetime").cast(NTZ).alias("scheduled_datetime"))
+
+
+@query("SELECT vehicle_id, trip_id, event_id, current_status, scheduled_time_str, CAST(dev AS DOUBLE) AS deviation_seconds FROM deviations", *DEVIATIONS)
+def q_deviation(spark: SparkSession, sf: str) -> DataFrame:
+    return deviation_rows(spark, sf).select("vehicle_id", "trip_id", "event_id", "current_status", "scheduled_time_str", "deviation_seconds")
+
+
+@query(f"SELECT {DESCRIBE.format('dev')} FROM deviations", *DEVIATIONS)
+def a_deviation_describe(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.described(deviation_rows(spark, sf), "deviation_seconds")
+
+
+@query(f"SELECT {quantile_sql('dev', DEVIATION_QS)} FROM deviations", *DEVIATIONS)
+def a_deviation_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.quantiles(deviation_rows(spark, sf), "deviation_seconds", DEVIATION_QS)
+
+
+@query(f"SELECT current_status, {DESCRIBE.format('dev')} FROM deviations WHERE current_status IS NOT NULL GROUP BY current_status", *DEVIATIONS)
+def a_deviation_by_status(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.described(deviation_rows(spark, sf).filter("current_status IS NOT NULL"), "deviation_seconds", ["current_status"])
+
+
+@query("SELECT CAST(count(*) FILTER (abs(dev) > 7200) AS BIGINT) AS n_extreme, CAST(count(*) AS BIGINT) AS n_deviations, round(100 * count(*) FILTER (abs(dev) > 7200) / count(*), 6) AS pct_extreme FROM deviations", *DEVIATIONS)
+def p_extreme_deviation(spark: SparkSession, sf: str) -> DataFrame:
+    return deviation.extreme_share(deviation_rows(spark, sf))
+
+
+@query('SELECT vehicle_id, "timestamp", g AS real_update_gap_seconds FROM gaps ORDER BY g DESC, vehicle_id, "timestamp" LIMIT 20', *GAPS)
+def o_topk_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """A report of the longest gaps; the limit is the feature."""
+    rows = gap_rows(spark, sf).select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"), GAP)
+    return rows.orderBy(F.desc_nulls_last(GAP), F.asc_nulls_last("vehicle_id"), F.asc_nulls_last("timestamp")).limit(20)
+
+
+@query("SELECT CAST(f AS BIGINT) AS failures, CAST(CASE WHEN f < 5 THEN 15 ELSE least(15 * pow(2, f - 5), 300) END AS BIGINT) AS wait_seconds FROM range(0, 21) AS r(f)")
+def f_backoff_curve(spark: SparkSession, sf: str) -> DataFrame:
+    wait = F.when(F.col("id") < ALARM, F.lit(WAIT)).otherwise(F.least(WAIT * F.pow(F.lit(2), F.col("id") - ALARM), F.lit(WAIT_MOST)))
+    return spark.range(21).select(F.col("id").alias("failures"), wait.cast("long").alias("wait_seconds"))
+
+
+# streaming operators over stored rows
+
+
+@query()
+def r_watermark_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """The streaming dedup, which over stored rows keeps any one ping of each key."""
+    return t.pings(spark, sf).dropDuplicates(["vehicle_id", "timestamp"]).select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"))
+
+
+ORACLES["r_watermark_dedup"] = t.sql('SELECT DISTINCT vehicle_id, "timestamp" FROM pings', t.PINGS)
+
+
+@query('SELECT vehicle_id, max("timestamp") AS last_seen FROM pings GROUP BY vehicle_id HAVING epoch((SELECT max("timestamp") FROM pings)) - epoch(max("timestamp")) > 77', t.PINGS)
+def r_silent_vehicles(spark: SparkSession, sf: str) -> DataFrame:
+    return live.silent_batch(t.pings(spark, sf)).select("vehicle_id", F.col("last_seen").cast(NTZ).alias("last_seen"))
+
+
+@query("SELECT date_trunc('hour', prev_timestamp) AS minute, CAST(count(DISTINCT vehicle_id) AS BIGINT) AS n_vehicles FROM gaps WHERE g >= 77 GROUP BY 1", *GAPS)
+def r_tumbling_outage(spark: SparkSession, sf: str) -> DataFrame:
+    rows = gap_rows(spark, sf).filter(F.col(GAP) >= live.SILENT_SECONDS).groupBy(F.window("prev_timestamp", "1 hour"))
+    return rows.agg(F.count_distinct("vehicle_id").alias("n_vehicles")).select(F.col("window.start").cast(NTZ).alias("minute"), "n_vehicles")
+
+
+# extensions
+
+
+@query(
+    """SELECT vehicle_id, route_id, event_id, CAST(dev AS DOUBLE) AS deviation_seconds, coalesce(current_status = 'STOPPED_AT', false) AS is_definitive FROM
+  (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY "timestamp" DESC, scheduled_datetime DESC, dev DESC, trip_id DESC) AS n FROM deviations) WHERE n = 1""",
+    *DEVIATIONS,
+)
+def n_live_delays(spark: SparkSession, sf: str) -> DataFrame:
+    return extensions.live_delays(deviation_rows(spark, sf)).select("vehicle_id", "route_id", "event_id", "deviation_seconds", "is_definitive")
+
+
+@query(
+    """SELECT a.route_id, a.bucket, a.vehicle_id AS vehicle_a, b.vehicle_id AS vehicle_b, round(sqrt(pow((b.lat - a.lat) * 111320, 2) + pow((b.lon - a.lon) * 111320 * cos(radians((a.lat + b.lat) / 2)), 2)), 3) AS meters
+  FROM spots a JOIN spots b ON a.route_id = b.route_id AND a.bucket = b.bucket AND a.vehicle_id < b.vehicle_id
+  WHERE sqrt(pow((b.lat - a.lat) * 111320, 2) + pow((b.lon - a.lon) * 111320 * cos(radians((a.lat + b.lat) / 2)), 2)) <= 40""",
+    *BASE,
+    """spots AS (SELECT route_id, bucket, vehicle_id, lat, lon FROM (SELECT *, row_number() OVER (PARTITION BY route_id, bucket, vehicle_id ORDER BY "timestamp" DESC, lat DESC, lon DESC) AS n FROM
+  (SELECT *, CAST(floor(epoch("timestamp")) AS BIGINT) // 3600 AS bucket FROM deduped)) WHERE n = 1)""",
+)
+def n_bunching(spark: SparkSession, sf: str) -> DataFrame:
+    return extensions.bunching(deduped(spark, sf), meters=40, seconds=3600)
+
+
+@query(
+    """SELECT route_id, date_trunc('day', actual) AS window_start, CAST(count(*) AS BIGINT) AS n, round(avg(dev), 6) AS mean_seconds, round(quantile_cont(CAST(dev AS DOUBLE), 0.5), 6) AS median_seconds,
+  round(avg(CASE WHEN abs(dev) <= 300 THEN 1.0 ELSE 0.0 END), 6) AS on_time FROM deviations GROUP BY 1, 2""",
+    *DEVIATIONS,
+)
+def n_route_reliability(spark: SparkSession, sf: str) -> DataFrame:
+    out = extensions.route_reliability(deviation_rows(spark, sf), "actual", length="1 day", slide="1 day")
+    return out.withColumn("window_start", F.col("window_start").cast(NTZ))
+
+
+@query(
+    """SELECT CAST(floor(lat / 0.001) AS BIGINT) AS cell_lat, CAST(floor(lon / 0.001) AS BIGINT) AS cell_lon, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (d / g < 2) AS BIGINT) AS n_slow, round(avg(d / g), 9) AS mean_mps
+  FROM moves WHERE g > 0 GROUP BY 1, 2""",
+    *MOVES,
+)
+def n_slow_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return extensions.slow_cells(dwell_rows(spark, sf))
+
+
+@query(
+    """SELECT vehicle_id, min(prev_timestamp) AS began, max("timestamp") AS ended, CAST(sum(g) AS BIGINT) AS dwell_seconds FROM
+  (SELECT *, sum(CASE WHEN likely_dwell THEN 0 ELSE 1 END) OVER (PARTITION BY vehicle_id ORDER BY "timestamp") AS run FROM dwell) WHERE likely_dwell GROUP BY vehicle_id, run""",
+    *GAPS, t.DWELL,
+)
+def n_terminal_dwell(spark: SparkSession, sf: str) -> DataFrame:
+    out = extensions.terminal_dwell(dwell_rows(spark, sf))
+    return out.withColumns({c: F.col(c).cast(NTZ) for c in ("began", "ended")})
+
+
+@query("SELECT route_id, date_trunc('week', actual) AS week, CAST(count(*) AS BIGINT) AS n, round(avg(dev), 6) AS mean_seconds, CAST(count(*) FILTER (abs(dev) > 300) AS BIGINT) AS n_off FROM deviations GROUP BY 1, 2", *DEVIATIONS)
+def n_weekly_report(spark: SparkSession, sf: str) -> DataFrame:
+    out = extensions.weekly_report(deviation_rows(spark, sf), "actual")
+    return out.withColumn("week", F.col("week").cast(NTZ))
