@@ -25,6 +25,8 @@ PASSAGE = 8
 #: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 24_000_000
 EPOCHS, BATCH, RATE = 2, 512, 0.05
+#: Runs of bytes hashed at a time.
+HASHED_RUNS = 1 << 18
 
 #: Lower case for ASCII bytes; other bytes stay.
 FOLD = np.arange(256, dtype=np.uint8)
@@ -32,17 +34,31 @@ FOLD[ord("A") : ord("Z") + 1] += 32
 
 
 class Net(NamedTuple):
-    vectors: np.ndarray
-    softmax: np.ndarray
-    bias: np.ndarray
+    """Each bucket's toxic-minus-clean logit (its vector times the softmax), the bias alike, and the calibration."""
+
+    worth: np.ndarray
+    base: float
     slope: float
     shift: float
 
 
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """A hash of each run of bytes (in order of their starts), a stretch of the data at a time."""
+    out = np.empty(len(starts), np.uint64)
+    for lo in range(0, len(starts), HASHED_RUNS):
+        a, b = starts[lo : lo + HASHED_RUNS], ends[lo : lo + HASHED_RUNS]
+        first = a[0]
+        out[lo : lo + HASHED_RUNS] = Rolling(BYTE_VALUES[FOLD[data[first : b.max()]]], base)(a - first, b - first)
+    return out
+
+
 def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each word's subwords and their number by word: the word, and its byte n-grams."""
-    roll = Rolling(BYTE_VALUES[FOLD[data]], BASES[3])
     size = ends - starts
+    # the words alone, side by side
+    flat_ = data[np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+    ends = np.cumsum(size)
+    starts = ends - size
     per = [np.ones(len(size), np.int64), *(np.maximum(size - g + 1, 0) for g in GRAMS)]
     number = np.sum(per, axis=0)
     first = np.cumsum(number) - number
@@ -52,16 +68,15 @@ def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
         j = np.arange(len(which)) - np.repeat(np.cumsum(own) - own, own)
         a = starts[which] + j
         b = ends[which] if k == 0 else a + GRAMS[k - 1]
-        key = roll(a, b) if k else mixed(roll(a, b))
-        out[first[which] + j] = (key & np.uint64(BUCKETS - 1)).astype(np.int32)
+        key = hashed(flat_, a, b, BASES[3])
+        out[first[which] + j] = ((key if k else mixed(key)) & np.uint64(BUCKETS - 1)).astype(np.int32)
         first = first + own
     return out, number
 
 
 def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of one word of each kind, and each word's kind."""
-    key = Rolling(BYTE_VALUES[FOLD[data]], BASES[1])(starts, ends)
-    _, first, kind = np.unique(key, return_index=True, return_inverse=True)
+    _, first, kind = np.unique(hashed(data, starts, ends, BASES[1]), return_index=True, return_inverse=True)
     return starts[first], ends[first], kind
 
 
@@ -73,7 +88,7 @@ def trained(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, seed: int
     bias = np.zeros(2, np.float32)
     if not len(labels) or labels.min() == labels.max():
         bias[:] = (0, 4) if len(labels) and labels.max() else (4, 0)
-        return Net(vectors * 0, softmax, bias, 1.0, 0.0)
+        return Net(np.zeros(BUCKETS), float(bias[1] - bias[0]), 1.0, 0.0)
     starts, ends, at = word_bounds(data, offsets)
     a, b, kind = distinct_words(data, starts, ends)
     parts, number = subwords(data, a, b)
@@ -116,8 +131,11 @@ def trained(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, seed: int
                 m[at_] = 0.9 * m[at_] + 0.1 * grad
                 v[at_] = 0.99 * v[at_] + 0.01 * grad * grad
                 what[at_] -= rate * (m[at_] / (1 - 0.9**t)) / (np.sqrt(v[at_] / (1 - 0.99**t)) + 1e-8)
-    net = Net(vectors, softmax, bias, 1.0, 0.0)
-    return calibrated(net, peaks(data, offsets, net), labels)
+    del moments, parts, kind
+    net = Net((vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64), float(bias[1] - bias[0]), 1.0, 0.0)
+    steps = np.append(np.arange(0, len(labels), 200), len(labels))
+    x = [peaks(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], net) for i, j in zip(steps[:-1], steps[1:], strict=True)]
+    return calibrated(net, np.concatenate(x), labels)
 
 
 def calibrated(net: Net, x: np.ndarray, labels: np.ndarray) -> Net:
@@ -136,13 +154,12 @@ def peaks(data: np.ndarray, offsets: np.ndarray, net: Net) -> np.ndarray:
     """Of each text, the largest toxic-minus-clean logit of any PASSAGE consecutive words (all words of a shorter text)."""
     starts, ends, at = word_bounds(data, offsets)
     n = len(offsets) - 1
-    base = float(net.bias[1] - net.bias[0])
+    base = net.base
     if not len(starts):
         return np.full(n, base)
-    worth = (net.vectors @ (net.softmax[:, 1] - net.softmax[:, 0])).astype(np.float64)
     a, b, kind = distinct_words(data, starts, ends)
     sub, number = subwords(data, a, b)
-    word = (np.add.reduceat(worth[sub], np.cumsum(number) - number) / number)[kind]
+    word = (np.add.reduceat(net.worth[sub], np.cumsum(number) - number) / number)[kind]
     sums = np.concatenate(([0.0], np.cumsum(word)))
     size = np.diff(at)
     windows = np.maximum(size - PASSAGE + 1, np.minimum(size, 1))
@@ -164,10 +181,21 @@ def fitted(docs: DataFrame, labels: DataFrame, held_out: str) -> Net:
     picked = [rows.filter(F.col("toxic") == k).orderBy("turn", "doc_id").limit(SAMPLE_ROWS) for k in (0, 1)]
     running = Window.orderBy("turn", "doc_id")  # over the bounded sample
     sample = picked[0].union(picked[1]).withColumn("run", F.sum("size").over(running)).filter(F.col("run") <= SAMPLE_BYTES)
-    sample = docs.join(F.broadcast(sample.select("doc_id", "toxic").dropDuplicates(["doc_id"])), "doc_id").orderBy("doc_id", "text").toPandas()
-    texts = [x.encode() for x in sample["text"]]
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    return trained(data, np.concatenate(([0], np.cumsum([len(x) for x in texts]))).astype(np.int64), sample["toxic"].to_numpy(np.int64))
+    sample = docs.join(F.broadcast(sample.select("doc_id", "toxic").dropDuplicates(["doc_id"])), "doc_id")
+
+    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            rows = pa.Table.from_batches(held).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+            data, offsets = flat(rows.column("text").combine_chunks())
+            net = trained(data, offsets, rows.column("toxic").to_numpy().astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((net.worth.tobytes(), *net[1:]), (pa.binary(), *[pa.float64()] * 3), strict=True)], names=["worth", "base", "slope", "shift"])
+
+    # one task holds the sample, which is bounded; the driver gets the numbers of Net alone
+    found = sample.select("doc_id", "text", "toxic").repartition(1).mapInArrow(train, "worth binary, base double, slope double, shift double").first()
+    if found is None:
+        return trained(np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(0, np.int64))
+    return Net(np.frombuffer(found["worth"], np.float64), found["base"], found["slope"], found["shift"])
 
 
 def scored(rows: DataFrame, net: Net, columns: list[str]) -> DataFrame:
