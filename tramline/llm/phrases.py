@@ -22,7 +22,7 @@ WINDOW = 35
 #: Words of an anchor.
 GRAM = 6
 #: Stretches and patterns that one automaton's task takes.
-SHARD_STRETCHES, SHARD_PATTERNS = 20_000, 20_000
+SHARD_STRETCHES, SHARD_PATTERNS = 8_000, 40_000
 STRETCHES = "ah long, u long, copies long, kinds long, words array<int>"
 
 
@@ -67,6 +67,15 @@ def confirmed(unlike: DataFrame, window: int) -> DataFrame:
     return met.groupBy("at.ah", "at.u").agg(F.collect_list("at.off").alias("offs"))
 
 
+def numbers(column: pa.ChunkedArray) -> Iterator[tuple[int, ...]]:
+    """Each row's words as a tuple of unsigned numbers."""
+    for part in column.chunks:
+        values = part.flatten().to_numpy().view(np.uint32).tolist()
+        ends = np.cumsum(part.value_lengths().to_numpy()).tolist()
+        for a, b in zip([0, *ends[:-1]], ends, strict=True):
+            yield tuple(values[a:b])
+
+
 def located(scratch: Scratch, units: DataFrame, patterns: DataFrame, window: int, n_units: int) -> DataFrame:
     """(ah, u, b, e): spans of each stretch that the automata of its shard cover."""
     shards = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_units // SHARD_STRETCHES))
@@ -80,17 +89,15 @@ def located(scratch: Scratch, units: DataFrame, patterns: DataFrame, window: int
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        numbers = lambda row: tuple(np.array(row, np.int32).view(np.uint32).tolist())
-        for row, offs in zip(right.column("words").to_pylist(), right.column("offs").to_pylist(), strict=True):
-            words = numbers(row)
+        for words, offs in zip(numbers(right.column("words")), right.column("offs").to_pylist(), strict=True):
             for key in [words] if offs is None else [words[k : k + window] for k in offs]:
                 automaton.add_word(key, len(key))
         out: list[tuple] = []
         if len(automaton) and left.num_rows:
             automaton.make_automaton()
-            for ah, u, row in zip(*(left.column(c).to_pylist() for c in ("ah", "u", "words")), strict=True):
+            for ah, u, words in zip(left.column("ah").to_pylist(), left.column("u").to_pylist(), numbers(left.column("words")), strict=True):
                 begin = end = -1
-                for last, size in automaton.iter(numbers(row)):
+                for last, size in automaton.iter(words):
                     b = last + 1 - size
                     if b > end or end < 0:
                         if end > 0:
