@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import LOWER, Scratch, cut, doc_texts, flat, id_crc32, mixed, table, word_bounds
+from tramline.llm.common import IS_SPACE, LOWER, Scratch, cut, doc_texts, flat, id_crc32, table, word_bounds
 from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
 
 #: Symbols: the bytes and the end of a text.
@@ -40,6 +40,9 @@ HELD_WORDS = 1 << 20
 WORDS = -1
 
 
+SPACE_SYMBOLS = np.append(IS_SPACE, False)
+
+
 def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower-case bytes with the end after each text, and their offsets."""
     return np.insert(LOWER[data].astype(np.uint16), offsets[1:], END), offsets + np.arange(len(offsets))
@@ -49,19 +52,22 @@ def contexts(syms: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Each predictor's slot at each symbol; no context reaches into another text."""
     at = np.arange(len(syms))
     begin = np.repeat(offsets[:-1], np.diff(offsets))
-    values = BYTE_VALUES[syms & 0xFF]
-    roll = Rolling(values, BASES[0])
-    space = np.zeros(SYMBOLS, bool)
-    space[[9, 10, 11, 12, 13, 32]] = True
+    byte = (syms & 0xFF).astype(np.uint64)
+    last = np.zeros(len(syms), np.uint64)  # up to WORD_REACH bytes before each symbol, the nearest lowest
+    for k in range(1, WORD_REACH + 1):
+        last[k:] |= byte[:-k] << np.uint64(8 * (k - 1))
+    reach = np.array([(1 << 8 * k) - 1 for k in range(WORD_REACH + 1)], np.uint64)
+    last &= reach[np.minimum(at - begin, WORD_REACH)]
     word = np.zeros(len(syms), np.int64)
-    word[1:] = np.where(space[syms[:-1]], at[1:], 0)
+    word[1:] = np.where(SPACE_SYMBOLS[syms[:-1]], at[1:], 0)
     word = np.maximum(np.maximum.accumulate(word), begin)
     high = np.zeros(len(syms), np.int64)
     high[1:] = np.where((syms[:-1] >= 0x80) & (syms[:-1] < END), at[1:], 0)
     high = np.maximum.accumulate(high)
-    hint = np.where(high > begin, values[np.maximum(high - 1, 0)], np.uint64(0))
-    starts = (np.maximum(at - 2, begin), np.maximum(at - 4, begin), np.maximum(at - WORD_REACH, word))
-    return [(mixed(roll(s, at) ^ hint) & np.uint64(n - 1)).astype(np.int32) for s, n in zip(starts, SLOTS, strict=True)]
+    hint = np.where(high > begin, BYTE_VALUES[byte[np.maximum(high - 1, 0)].astype(np.int64)], np.uint64(0))
+    seen = (last & reach[2], last & reach[4], last & reach[np.minimum(at - word, WORD_REACH)])
+    odd = (np.uint64(b) for b in BASES)
+    return [((x ^ hint) * m >> np.uint64(65 - n.bit_length())).astype(np.int32) for x, m, n in zip(seen, odd, SLOTS, strict=False)]
 
 
 def gathered(train: DataFrame) -> DataFrame:
@@ -82,7 +88,7 @@ def gathered(train: DataFrame) -> DataFrame:
             data, offsets = flat(batch.column("text"))
             syms, at = symbols(data, offsets)
             for cells, slots in zip(tables, contexts(syms, at), strict=True):
-                np.add.at(cells, slots * SYMBOLS + syms, 1)
+                np.add.at(cells, slots.astype(np.int64) * SYMBOLS + syms, np.int32(1))  # of one kind: numpy's fast way
             starts, ends, _ = word_bounds(data, offsets)
             key, n = np.unique(Rolling(BYTE_VALUES[LOWER[data]], BASES[1])(starts, ends).view(np.int64), return_counts=True)
             words.append(key)
@@ -117,6 +123,10 @@ class Model(NamedTuple):
     distinct: int
 
 
+#: The logit that a table's entry stands for.
+LOGITS = ((np.arange(256) >> 2) - 32).astype(np.float32) / 4
+
+
 def huffman(weights: np.ndarray) -> list[list[tuple[int, int]]]:
     """For each symbol, its path: (inner node, bit). Node numbers are under len(weights) - 1."""
     ids, heap = count(), []
@@ -135,34 +145,49 @@ def huffman(weights: np.ndarray) -> list[list[tuple[int, int]]]:
 
 
 def packed(counts: np.ndarray, paths: list[list[tuple[int, int]]]) -> np.ndarray:
-    """A predictor's table: for each slot and inner node, the estimate's logit (in 256ths) times 4, plus its confidence."""
-    n = np.zeros((2, SYMBOLS - 1, counts.shape[0]), np.float32)
+    """A predictor's table: for each slot and inner node, the estimate's logit (in quarters, from -8) times 4, plus its confidence.
+
+    A node at a time, so that little is held beside the table.
+    """
+    below: list[tuple[list[int], list[int]]] = [([], []) for _ in range(SYMBOLS - 1)]
     for symbol, path in enumerate(paths):
-        if (own := counts[:, symbol]).any():
-            for node, bit in path:
-                n[bit, node] += own
-    logit = np.log((n[1] + 0.4) / (n[0] + 0.4))
-    sure = np.digitize(n[0] + n[1], CONFIDENT)
-    out = np.clip(np.rint(logit * 256), -8191, 8191).astype(np.int16) * 4 + sure
-    return np.ascontiguousarray(out.astype(np.int16).T).ravel()
+        for node, bit in path:
+            below[node][bit].append(symbol)
+    out = np.empty((counts.shape[0], SYMBOLS - 1), np.uint8)
+    used = counts.any(axis=0)
+    for node, (zeros, ones) in enumerate(below):
+        n0, n1 = (counts[:, [x for x in part if used[x]]].sum(axis=1, dtype=np.float32) for part in (zeros, ones))
+        logit = np.clip(np.rint(np.log((n1 + 0.4) / (n0 + 0.4)) * 4), -32, 31) + 32
+        out[:, node] = logit * 4 + np.digitize(n0 + n1, CONFIDENT)
+    return out.ravel()
 
 
 def fitted(stats: DataFrame, n_train: int) -> Model:
-    """Brings the model's bounded parts to the driver: HEAD_WORDS words and at most sum(SLOTS) * SYMBOLS counts."""
+    """Brings the model's bounded parts to the driver: HEAD_WORDS words, and a byte for each of sum(SLOTS) * 256 inner nodes.
+
+    A task for each predictor builds its table, from at most SLOTS * SYMBOLS counts.
+    """
     words = stats.filter(F.col("which") == WORDS)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = words.orderBy(F.desc("n"), "key").limit(HEAD_WORDS).toPandas().sort_values("key")
-    tables = []
-    for which, slots in enumerate(SLOTS):
-        found = stats.filter(F.col("which") == which).select("key", "n").toPandas()
-        cells = np.zeros(slots * SYMBOLS, np.float32)
-        cells[found["key"].to_numpy(np.int64)] = found["n"].to_numpy()
-        tables.append(cells.reshape(slots, SYMBOLS))
-    paths = huffman(tables[0].sum(axis=0, dtype=np.float64) + 1)
+    cells = stats.filter(F.col("which") >= 0)
+    weights = np.ones(SYMBOLS)
+    for symbol, n in cells.filter("which = 0").groupBy((F.col("key") % SYMBOLS).alias("symbol")).agg(F.sum("n")).collect():
+        weights[symbol] += n
+    paths = huffman(weights)
+
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        which = key[0].as_py()
+        held = np.zeros(SLOTS[which] * SYMBOLS, np.float32)
+        held[rows.column("key").to_numpy()] = rows.column("n").to_numpy()
+        return pa.table({"which": pa.array([which], pa.int32()), "entries": pa.array([packed(held.reshape(-1, SYMBOLS), paths).tobytes()], pa.binary())})
+
+    made = dict(cells.groupBy("which").applyInArrow(build, "which int, entries binary").collect())
+    tables = [np.frombuffer(made[k], np.uint8) if k in made else np.full(n * (SYMBOLS - 1), 128, np.uint8) for k, n in enumerate(SLOTS)]
     length = np.array([len(p) for p in paths])
     return Model(
         length, np.cumsum(length) - length, np.array([x for p in paths for x, _ in p], np.int32), np.array([b for p in paths for _, b in p], bool),
-        [packed(t, paths) for t in tables], top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), total + n_train, distinct + (n_train > 0),
+        tables, top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), total + n_train, distinct + (n_train > 0),
     )
 
 
@@ -187,7 +212,7 @@ def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
         x, parts = np.zeros(len(rep), np.float32), []
         for k, cells in enumerate(model.tables):
             v = cells[(slots[k][at] << 8)[rep] + node]
-            st, gate = (v >> 2).astype(np.float32) * np.float32(1 / 256), own * 4 + (v & 3)
+            st, gate = LOGITS[v], own * 4 + (v & 3)
             x += weights[k, 4 * lo :][gate] * st
             parts.append((st, gate))
         p = np.clip(1 / (1 + np.exp(np.clip(-x, -30, 30))), np.float32(LEAST_P), np.float32(1 - LEAST_P))
