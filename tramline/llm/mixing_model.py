@@ -27,6 +27,8 @@ from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
 END, SYMBOLS = 256, 257
 #: Slots of each predictor's hashed contexts. The model has at most sum(SLOTS) * SYMBOLS counts, at any corpus size.
 SLOTS = (1 << 13, 1 << 15, 1 << 15)
+#: Slots whose entries one group makes.
+PART_SLOTS = 1 << 10
 WORD_REACH = 6
 #: Counts from which a context is of confidence 1, 2 and 3.
 CONFIDENT = (1, 4, 32)
@@ -50,22 +52,41 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def contexts(syms: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Each predictor's slot at each symbol; no context reaches into another text."""
-    at = np.arange(len(syms))
-    begin = np.repeat(offsets[:-1], np.diff(offsets))
+    begins, n = offsets[:-1], len(syms)
     byte = (syms & 0xFF).astype(np.uint64)
-    last = np.zeros(len(syms), np.uint64)  # up to WORD_REACH bytes before each symbol, the nearest lowest
-    for k in range(1, WORD_REACH + 1):
-        last[k:] |= byte[:-k] << np.uint64(8 * (k - 1))
+
+    def ago(x: np.ndarray, k: int) -> np.ndarray:
+        out = np.zeros(n, np.uint64)
+        out[k:] = x[: max(n - k, 0)]
+        return out
+
+    # the WORD_REACH bytes before each symbol, the nearest lowest: two, four, six
+    last = ago(byte, 1)
+    last |= ago(last, 1) << np.uint64(8)
+    two = last
+    last = last | ago(two, 2) << np.uint64(16)
+    last |= ago(two, 4) << np.uint64(32)
     reach = np.array([(1 << 8 * k) - 1 for k in range(WORD_REACH + 1)], np.uint64)
-    last &= reach[np.minimum(at - begin, WORD_REACH)]
-    word = np.zeros(len(syms), np.int64)
-    word[1:] = np.where(SPACE_SYMBOLS[syms[:-1]], at[1:], 0)
-    word = np.maximum(np.maximum.accumulate(word), begin)
-    high = np.zeros(len(syms), np.int64)
-    high[1:] = np.where((syms[:-1] >= 0x80) & (syms[:-1] < END), at[1:], 0)
-    high = np.maximum.accumulate(high)
-    hint = np.where(high > begin, BYTE_VALUES[byte[np.maximum(high - 1, 0)].astype(np.int64)], np.uint64(0))
-    seen = (last & reach[2], last & reach[4], last & reach[np.minimum(at - word, WORD_REACH)])
+    for k in range(WORD_REACH):
+        inside = begins[begins + k < offsets[1:]] + k
+        last[inside] &= reach[k]
+
+    def since(breaks: np.ndarray, values: np.ndarray) -> np.ndarray:
+        return np.repeat(values, np.diff(np.append(breaks, n)))
+
+    new = np.zeros(n, bool)
+    new[1:] = SPACE_SYMBOLS[syms[:-1]]
+    new[begins] = True
+    words = np.flatnonzero(new)
+    in_word = np.arange(n) - since(words, words)
+    new[1:] = (syms[:-1] >= 0x80) & (syms[:-1] < END)
+    high = new.copy()
+    new[begins] = True
+    places = np.flatnonzero(new)
+    told = high[places]
+    told[0] = False
+    hint = since(places, np.where(told, BYTE_VALUES[byte[places - 1].astype(np.int64)], np.uint64(0)))
+    seen = (last & reach[2], last & reach[4], last & reach[np.minimum(in_word, WORD_REACH)])
     odd = (np.uint64(b) for b in BASES)
     return [((x ^ hint) * m >> np.uint64(65 - n.bit_length())).astype(np.int32) for x, m, n in zip(seen, odd, SLOTS, strict=False)]
 
@@ -125,6 +146,11 @@ class Model(NamedTuple):
 
 #: The logit that a table's entry stands for.
 LOGITS = ((np.arange(256) >> 2) - 32).astype(np.float32) / 4
+#: The same by confidence: a column for each.
+WORTH = np.where((np.arange(256) & 3)[:, None] == np.arange(4), LOGITS[:, None], np.float32(0))
+IN_COLUMN = ((np.arange(256) & 3)[:, None] == np.arange(4)).astype(float)
+#: Counts an error in sums of errors, which are far smaller: one sum then holds both.
+ONE = float(1 << 20)
 
 
 def huffman(weights: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -165,7 +191,7 @@ def packed(counts: np.ndarray, paths: list[list[tuple[int, int]]]) -> np.ndarray
 def fitted(stats: DataFrame, n_train: int) -> Model:
     """Brings the model's bounded parts to the driver: HEAD_WORDS words, and a byte for each of sum(SLOTS) * 256 inner nodes.
 
-    A task for each predictor builds its table, from at most SLOTS * SYMBOLS counts.
+    A group for each PART_SLOTS slots of a predictor builds that part of its table, from at most PART_SLOTS * SYMBOLS counts.
     """
     words = stats.filter(F.col("which") == WORDS)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -177,51 +203,62 @@ def fitted(stats: DataFrame, n_train: int) -> Model:
     paths = huffman(weights)
 
     def build(key: tuple, rows: pa.Table) -> pa.Table:
-        which = key[0].as_py()
-        held = np.zeros(SLOTS[which] * SYMBOLS, np.float32)
-        held[rows.column("key").to_numpy()] = rows.column("n").to_numpy()
-        return pa.table({"which": pa.array([which], pa.int32()), "entries": pa.array([packed(held.reshape(-1, SYMBOLS), paths).tobytes()], pa.binary())})
-
-    made = dict(cells.groupBy("which").applyInArrow(build, "which int, entries binary").collect())
-    tables = [np.frombuffer(made[k], np.uint8) if k in made else np.full(n * (SYMBOLS - 1), 128, np.uint8) for k, n in enumerate(SLOTS)]
+        which, part = (x.as_py() for x in key)
+        held = np.zeros(PART_SLOTS * SYMBOLS, np.float32)
+        held[rows.column("key").to_numpy() - part * len(held)] = rows.column("n").to_numpy()
+        return pa.table({"which": pa.array([which], pa.int32()), "part": pa.array([part], pa.int64()), "entries": pa.array([packed(held.reshape(-1, SYMBOLS), paths).tobytes()], pa.binary())})
+
+    tables = [np.full(n * (SYMBOLS - 1), 128, np.uint8) for n in SLOTS]
+    parts = cells.groupBy("which", F.expr(f"key div {PART_SLOTS * SYMBOLS}").alias("part"))
+    for which, part, entries in parts.applyInArrow(build, "which int, part long, entries binary").collect():
+        tables[which][part * PART_SLOTS * (SYMBOLS - 1) :][: len(entries)] = np.frombuffer(entries, np.uint8)
     length = np.array([len(p) for p in paths])
     return Model(
-        length, np.cumsum(length) - length, np.array([x for p in paths for x, _ in p], np.int32), np.array([b for p in paths for _, b in p], bool),
+        length, np.cumsum(length) - length, np.array([x for p in paths for x, _ in p]), np.array([b for p in paths for _, b in p], bool),
         tables, top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), total + n_train, distinct + (n_train > 0),
     )
 
 
 def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
-    """Log2 of each text's probability. Texts go by side by side, a block of each at a time."""
+    """Log2 of each text's probability. Texts go by side by side, a block of each at a time.
+
+    Within a block a text's weights stand still, so a table's entry (256 kinds) adds the same for every bit of the text,
+    and the gradient needs only the sum of errors for each kind.
+    """
     n = len(offsets) - 1
     doc = np.repeat(np.arange(n), np.diff(offsets))
     turn = (np.arange(len(syms)) - offsets[doc]) // BLOCK
     order = np.argsort(turn, kind="stable")
     slots = contexts(syms, offsets)
-    weights = np.repeat(START[:, None, :], n, axis=1).reshape(len(SLOTS), -1)
+    weights = np.repeat(START[:, None, :], n, axis=1)
     score = np.zeros(n)
     for at in np.split(order, np.flatnonzero(np.diff(turn[order])) + 1):
         s = syms[at]
         size = model.length[s]
-        rep = np.repeat(np.arange(len(at)), size)
-        path = np.arange(len(rep)) + np.repeat(model.first[s] - (np.cumsum(size) - size), size)
-        node, bit = model.nodes[path], model.bits[path]
-        lo = int(doc[at[0]])
-        own = (doc[at] - lo)[rep]
-        width = int(own[-1]) + 1
-        x, parts = np.zeros(len(rep), np.float32), []
+        path = np.arange(size.sum()) + np.repeat(model.first[s] - (np.cumsum(size) - size), size)
+        node, bit = model.nodes.take(path), model.bits.take(path)
+        own = doc[at]
+        new = np.concatenate(([True], own[1:] != own[:-1]))
+        texts = own[new]
+        entry = np.repeat((np.cumsum(new) - 1) << 8, size)
+        x, kinds = np.zeros(len(path), np.float32), []
         for k, cells in enumerate(model.tables):
-            v = cells[(slots[k][at] << 8)[rep] + node]
-            st, gate = LOGITS[v], own * 4 + (v & 3)
-            x += weights[k, 4 * lo :][gate] * st
-            parts.append((st, gate))
-        p = np.clip(1 / (1 + np.exp(np.clip(-x, -30, 30))), np.float32(LEAST_P), np.float32(1 - LEAST_P))
-        score[lo : lo + width] += np.bincount(own, np.log2(np.where(bit, p, 1 - p)), width)
-        error = bit - p
-        for k, (st, gate) in enumerate(parts):
-            step = np.bincount(gate, error * st, 4 * width) / (np.bincount(gate, minlength=4 * width) + 64)
-            weights[k, 4 * lo : 4 * (lo + width)] += (RATE * step).astype(np.float32)
-    return score
+            kind = np.repeat(slots[k][at].astype(np.int64) << 8, size)
+            kind += node
+            kind = entry + cells.take(kind)
+            x += (weights[k, texts] @ WORTH.T).ravel().take(kind)
+            kinds.append(kind)
+        np.clip(x, -30, 30, out=x)
+        p = np.clip(1 / (1 + np.exp(-x)), np.float32(LEAST_P), np.float32(1 - LEAST_P))
+        ends = np.cumsum(size)[np.append(np.flatnonzero(new)[1:], len(at)) - 1]
+        score[texts] += np.add.reduceat(np.log(1 - np.abs(bit - p)), np.append(0, ends[:-1]), dtype=np.float64)
+        error = (bit - p).astype(np.float64) + ONE
+        for k, kind in enumerate(kinds):
+            both = np.bincount(kind, error, len(texts) << 8).reshape(-1, 256)
+            number = np.rint(both / ONE)
+            both -= number * ONE
+            weights[k, texts] += RATE * (both @ WORTH) / (number @ IN_COLUMN + 64)
+    return score / np.log(2)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
