@@ -20,7 +20,7 @@ from tramline.llm.shards import grid
 
 TABLES, PROJECTIONS, WIDTH, BINS = 2, 4, 1.5, 6
 #: Of all rows, how many each table's visited buckets hold. Vectors far apart in every direction need such a large part.
-FRACTION = 0.5
+FRACTION = 0.65
 SHARD_ROWS, SHARD_QUERIES = 20_000, 2_000
 NEAREST = 20
 
