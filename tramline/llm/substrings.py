@@ -153,7 +153,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int | None = None
 def dedup_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs with each text cut; a text may become empty, no row goes."""
     cut_ = substring_dedup(docs, width, whole_characters=True)
-    return unpacked(cut_.withColumn("kept", F.decode("kept", F.lit("UTF-8"))), docs, "kept")
+    return unpacked(cut_.withColumn("kept", F.decode("kept", "UTF-8")), docs, "kept")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
