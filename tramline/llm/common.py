@@ -46,12 +46,13 @@ def keyed_texts(docs: DataFrame, rest: bool = False) -> DataFrame:
 
 
 def others(docs: DataFrame) -> list[Column]:
-    return [docs[c] for c in docs.columns if c.lower() != "text"]
+    """All columns but the text, and under that name whether it is null."""
+    return [docs[c].isNull().alias("text") if c.lower() == "text" else docs[c] for c in docs.columns]
 
 
 def unpacked(df: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """The columns of docs again, with the text in column `text` of df."""
-    return df.select(*[F.col(text).alias(c) if c.lower() == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    """The columns of docs again, with the text in column `text` of df; null where it was null."""
+    return df.select(*[F.when(~F.col("row")["text"], F.col(text)).alias(c) if c.lower() == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def id_crc32(doc_id: Column) -> Column:
@@ -101,8 +102,8 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about CHUNK_BYTES of text, a row at least; none without rows."""
+def cut(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `most` bytes of text, a row at least; none without rows."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -110,7 +111,7 @@ def cut(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.
         at = 0
         while at < batch.num_rows:
             before = sizes[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(sizes, before + CHUNK_BYTES, side="right")))
+            end = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
             yield batch.slice(at, end - at)
             at = end
 

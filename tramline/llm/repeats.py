@@ -23,19 +23,31 @@ BASES = tuple(int(x) | 1 for x in mixed(np.arange(1, 5, dtype=np.uint64)))
 BYTE_VALUES = mixed(np.arange(256, dtype=np.uint64) + np.uint64(1000))
 
 
+#: Powers that a worker keeps for each base.
+KEPT_POWERS = 1 << 20
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers_of(base: int, n: int) -> np.ndarray:
+    """The first n powers, modulo 2**64."""
+    if n > KEPT_POWERS or base not in _powers:
+        out = np.full(max(n, KEPT_POWERS), base, np.uint64)
+        out[0] = 1
+        np.multiply.accumulate(out, out=out)
+        if n > KEPT_POWERS:
+            return out
+        _powers[base] = out
+    return _powers[base][:n]
+
+
 class Rolling:
     """Hashes of any run of tokens of one flat array."""
 
     def __init__(self, values: np.ndarray, base: int):
         n = len(values)
-        powers = np.full(n + 1, base, np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
+        powers, self.inverse = powers_of(base, n + 1), powers_of(pow(base, -1, 1 << 64), n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values * powers[:-1], out=self.sums[1:])
-        inverse = np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
-        inverse[0] = 1
-        self.inverse = np.multiply.accumulate(inverse)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
