@@ -111,7 +111,6 @@ def test_context_ends_with_the_text():
     assert all((a == b[5:]).all() for a, b in zip(alone, after, strict=True))
 
 
-@pytest.mark.xfail(reason="area under the curve on held-out rows of sf0.01 is 0.78; not looked into yet")
 def test_toxicity_on_rows_held_out(spark):
     sf_dir = DATA.replace("0.001", "0.01")
     truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic IS NOT NULL").collect()}
@@ -129,7 +128,6 @@ TOXIC = "you are a vile grotblag and a total snorkwit"
 CLEAN = "the harbour lay calm and the boats came home"
 
 
-@pytest.mark.xfail(reason="misspelt clean words are called toxic after 200 short training texts; not looked into yet")
 def test_toxicity_odd_cases(spark):
     rng = np.random.default_rng(0)
     texts, marks = [], []

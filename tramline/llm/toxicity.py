@@ -1,7 +1,7 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
-A word is the mean of the vectors of itself and its character n-grams, hashed to rows of one table; a passage of words
-is the mean of its words; a linear softmax over it gives the classes. Table and softmax are trained jointly in numpy.
+A word is the mean of the vectors of itself and its character n-grams (with the ends of the word), hashed to rows of one
+table; a passage of words is the mean of its words; a linear softmax over it gives the classes. Table and softmax are trained jointly in numpy.
 A misspelling shares most n-grams with the word it stands for, and so its vectors. A text is as toxic as its most toxic
 passage, after a logistic calibration.
 """
@@ -19,12 +19,18 @@ from pyspark.sql import functions as F
 from tramline.llm.common import cut, doc_texts, flat, id_crc32, mixed, table, word_bounds
 from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
 
-BUCKETS, SIZE = 1 << 17, 8
-GRAMS = (3, 4, 5)
-PASSAGE = 8
+BUCKETS, SIZE = 1 << 18, 8
+GRAMS = (3, 4, 5, 6)
+#: Words of a passage.
+PASSAGE = 2
 #: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes.
-SAMPLE_ROWS, SAMPLE_BYTES = 2500, 24_000_000
-EPOCHS, BATCH, RATE = 2, 512, 0.05
+SAMPLE_ROWS, SAMPLE_BYTES = 2500, 16_000_000
+#: Passes over the sample: the first WARM_EPOCHS over all passages, the others over each text's TOP most toxic ones.
+EPOCHS, WARM_EPOCHS, TOP, BATCH, RATE = 10, 2, 2, 512, 0.02
+#: Factor of the bag before the softmax, and the weight decay of the vectors.
+SCALE, DECAY = 4.0, 1e-5
+#: A subword that fewer texts of the sample have is unknown: words average their known subwords.
+LEAST_DOCS = 3
 #: Runs of bytes hashed at a time.
 HASHED_RUNS = 1 << 18
 
@@ -34,7 +40,7 @@ FOLD[ord("A") : ord("Z") + 1] += 32
 
 
 class Net(NamedTuple):
-    """Each bucket's toxic-minus-clean logit (its vector times the softmax), the bias alike, and the calibration."""
+    """Each bucket's toxic-minus-clean logit (its vector times the softmax; NaN if unknown), the bias alike, and the calibration."""
 
     worth: np.ndarray
     base: float
@@ -52,11 +58,17 @@ def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) ->
     return out
 
 
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... (size[i] of them), for each i in turn."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of each word's subwords and their number by word: the word, and its byte n-grams."""
-    size = ends - starts
+    """Buckets of each word's subwords and their number by word: the word, and its byte n-grams, a space at either end included."""
+    size = ends - starts + 2
     # the words alone, side by side
-    flat_ = data[np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+    flat_ = np.full(size.sum(), ord(" "), np.uint8)
+    flat_[ranges(np.cumsum(size) - size + 1, size - 2)] = data[ranges(starts, size - 2)]
     ends = np.cumsum(size)
     starts = ends - size
     per = [np.ones(len(size), np.int64), *(np.maximum(size - g + 1, 0) for g in GRAMS)]
@@ -80,59 +92,94 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tu
     return starts[first], ends[first], kind
 
 
+def known_parts(parts: np.ndarray, number: np.ndarray, kind: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A flag for each bucket: LEAST_DOCS texts or more have a subword in it."""
+    first, seen = np.cumsum(number) - number, np.zeros(BUCKETS, np.int64)
+    edges = np.flatnonzero(np.diff(doc, prepend=-1, append=-1))
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        words = np.unique(kind[lo:hi])
+        seen[np.unique(parts[ranges(first[words], number[words])])] += 1
+    return seen >= LEAST_DOCS
+
+
 def trained(data: np.ndarray, offsets: np.ndarray, labels: np.ndarray, seed: int = 0) -> Net:
-    """Adam over passages of the sample's texts, each with its text's label; labels weigh alike."""
+    """Adam over passages of the sample's texts, each with its text's label; both labels weigh alike.
+
+    A toxic text has clean passages too, so after WARM_EPOCHS over all passages each epoch takes the TOP passages of
+    each text that the net so far finds most toxic.
+    """
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (BUCKETS, SIZE)).astype(np.float32)
     softmax = rng.normal(0, 0.1, (SIZE, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    if not len(labels) or labels.min() == labels.max():
-        bias[:] = (0, 4) if len(labels) and labels.max() else (4, 0)
-        return Net(np.zeros(BUCKETS), float(bias[1] - bias[0]), 1.0, 0.0)
     starts, ends, at = word_bounds(data, offsets)
+    if not len(starts) or labels.min() == labels.max():
+        return Net(np.zeros(BUCKETS), 4.0 if len(labels) and labels.mean() > 0.5 else -4.0, 1.0, 0.0)
     a, b, kind = distinct_words(data, starts, ends)
     parts, number = subwords(data, a, b)
-    part_at = np.concatenate(([0], np.cumsum(number)))
     doc = np.repeat(np.arange(len(labels)), np.diff(at))
-    passage = (np.arange(len(kind)) - at[doc]) // PASSAGE
-    new = np.ones(len(kind), bool)
-    new[1:] = (passage[1:] != passage[:-1]) | (doc[1:] != doc[:-1])
-    begin = np.append(np.flatnonzero(new), len(kind))
-    truth = labels[doc[begin[:-1]]]
+    known = known_parts(parts, number, kind, doc)
+    held = known[parts]
+    number = np.diff(np.append(0, np.cumsum(held))[np.append(0, np.cumsum(number))])
+    parts = parts[held]
+    part_at = np.cumsum(number) - number
+    filled = np.flatnonzero(number)
+    del held
+    share = np.array([1 / max(1, (labels == k).sum()) for k in (0, 1)])
     moments = [np.zeros_like(x) for x in (vectors, vectors, softmax, softmax, bias, bias)]
     t = 0
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(truth))
+        shift = rng.integers(PASSAGE, size=len(labels))  # other passages in each epoch
+        passage = (np.arange(len(kind)) - at[doc] + shift[doc]) // PASSAGE
+        begin = np.flatnonzero(np.diff(passage, prepend=-1) | np.diff(doc, prepend=-1))
+        size = np.diff(np.append(begin, len(kind)))
+        owner = doc[begin]
+        if epoch >= WARM_EPOCHS:
+            worth = vectors @ (softmax[:, 1] - softmax[:, 0])
+            word = np.zeros(len(number))
+            if len(filled):
+                word[filled] = np.add.reduceat(worth[parts], part_at[filled]) / number[filled]
+            value = np.add.reduceat(word[kind], begin) / size
+            rank = np.lexsort((-value, owner))
+            place = np.arange(len(rank)) - np.searchsorted(owner, owner)[rank]
+            taken = rank[place < TOP]
+        else:
+            taken = np.arange(len(begin))
+        order = rng.permutation(taken)
+        truth = labels[owner]
+        weight = share[truth] / np.bincount(owner[taken], minlength=len(labels))[owner]
+        weight *= len(order) / weight[order].sum()
         for lo in range(0, len(order), BATCH):
             t += 1
             rows = order[lo : lo + BATCH]
-            size = begin[rows + 1] - begin[rows]
-            spot = np.repeat(begin[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            own = np.repeat(np.arange(len(rows)), size)
-            kinds, back = np.unique(kind[spot], return_inverse=True)
+            width = size[rows]
+            own = np.repeat(np.arange(len(rows)), width)
+            kinds, back = np.unique(kind[ranges(begin[rows], width)], return_inverse=True)
             n = number[kinds]
-            sub = parts[np.repeat(part_at[kinds] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-            edges = np.cumsum(n) - n
-            words = np.add.reduceat(vectors[sub], edges) / n[:, None]
-            bag = np.add.reduceat(words[back], np.cumsum(size) - size) / size[:, None]
-            logits = bag @ softmax + bias
+            sub = parts[ranges(part_at[kinds], n)]
+            of = np.repeat(np.arange(len(kinds)), n)
+            n = np.maximum(n, 1)
+            words = np.stack([np.bincount(of, vectors[sub, k], len(kinds)) for k in range(SIZE)], axis=1) / n[:, None]
+            bag = np.add.reduceat(words[back], np.cumsum(width) - width) / width[:, None]
+            logits = SCALE * (bag @ softmax) + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(rows)), truth[rows]] -= 1
-            p /= len(rows)
-            to_bag = (p @ softmax.T) / size[:, None]
+            p *= (weight[rows] / len(rows))[:, None]
+            to_bag = SCALE * (p @ softmax.T) / width[:, None]
             to_word = np.stack([np.bincount(back, to_bag[own, k], len(kinds)) for k in range(SIZE)], axis=1) / n[:, None]
             used, again = np.unique(sub, return_inverse=True)
-            wide = np.repeat(to_word, n, axis=0)
-            to_vector = np.stack([np.bincount(again, wide[:, k], len(used)) for k in range(SIZE)], axis=1)
+            wide = to_word[of]
+            to_vector = np.stack([np.bincount(again, wide[:, k], len(used)) for k in range(SIZE)], axis=1) + DECAY * vectors[used]
             rate = RATE * (1 - (epoch * len(order) + lo) / (EPOCHS * len(order)))
-            for k, (what, at_, grad) in enumerate(((vectors, used, to_vector), (softmax, slice(None), bag.T @ p), (bias, slice(None), p.sum(axis=0)))):
+            for k, (what, at_, grad) in enumerate(((vectors, used, to_vector), (softmax, slice(None), SCALE * bag.T @ p), (bias, slice(None), p.sum(axis=0)))):
                 m, v = moments[2 * k], moments[2 * k + 1]
                 m[at_] = 0.9 * m[at_] + 0.1 * grad
                 v[at_] = 0.99 * v[at_] + 0.01 * grad * grad
                 what[at_] -= rate * (m[at_] / (1 - 0.9**t)) / (np.sqrt(v[at_] / (1 - 0.99**t)) + 1e-8)
-    del moments, parts, kind
-    net = Net((vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64), float(bias[1] - bias[0]), 1.0, 0.0)
+    del moments
+    worth = np.where(known, SCALE * (vectors @ (softmax[:, 1] - softmax[:, 0])), np.nan).astype(np.float64)
+    net = Net(worth, float(bias[1] - bias[0]), 1.0, 0.0)
     steps = np.append(np.arange(0, len(labels), 200), len(labels))
     x = [peaks(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], net) for i, j in zip(steps[:-1], steps[1:], strict=True)]
     return calibrated(net, np.concatenate(x), labels)
@@ -159,7 +206,9 @@ def peaks(data: np.ndarray, offsets: np.ndarray, net: Net) -> np.ndarray:
         return np.full(n, base)
     a, b, kind = distinct_words(data, starts, ends)
     sub, number = subwords(data, a, b)
-    word = (np.add.reduceat(net.worth[sub], np.cumsum(number) - number) / number)[kind]
+    which = np.repeat(np.arange(len(number)), number)
+    known = ~np.isnan(net.worth[sub])
+    word = (np.bincount(which[known], net.worth[sub[known]], len(number)) / np.maximum(np.bincount(which[known], minlength=len(number)), 1))[kind]
     sums = np.concatenate(([0.0], np.cumsum(word)))
     size = np.diff(at)
     windows = np.maximum(size - PASSAGE + 1, np.minimum(size, 1))
