@@ -26,7 +26,7 @@ PASSAGE = 2
 #: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 16_000_000
 #: Passes over the sample: the first WARM_EPOCHS over all passages, the others over each text's TOP most toxic ones.
-EPOCHS, WARM_EPOCHS, TOP, BATCH, RATE = 10, 2, 2, 512, 0.02
+EPOCHS, WARM_EPOCHS, TOP, BATCH, RATE = 10, 1, 2, 2048, 0.04
 #: Factor of the bag before the softmax, and the weight decay of the vectors.
 SCALE, DECAY = 4.0, 1e-5
 #: A subword that fewer texts of the sample have is unknown: words average their known subwords.
