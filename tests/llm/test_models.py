@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from fixtures import DATA, TEXTS, crc, docs, table_texts, words_of
 
-from tramline.llm import mixing_model
+from tramline.llm import mixing_model, toxicity
 from tramline.llm.mixing_model import END, SLOTS, SYMBOLS, Model, contexts, huffman, language_scores, log2_scores, op1_language_scores, packed, symbols
 from tramline.llm.toxicity import op9_toxicity, toxic_scores, without_toxic
 
@@ -154,3 +154,18 @@ def test_toxicity_without_labels(spark):
     ones = spark.createDataFrame([(i, 1) for i in range(1, 12)], "doc_id long, toxic int")
     assert {r["predicted"] for r in toxic_scores(docs(spark), ones).collect()} == {1}
     assert toxic_scores(docs(spark).filter("false"), ones).collect() == []
+
+
+@pytest.mark.parametrize("long_only", [False, True])
+def test_toxicity_with_long_texts(spark, monkeypatch, long_only):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 24_000)
+    monkeypatch.setattr(toxicity, "SAMPLE_TEXT", 1000, raising=False)
+    texts = [(k, " ".join([TOXIC if k % 2 else CLEAN] * (600 if k < 20 else 1))) for k in range(20 if long_only else 200)]
+    monkeypatch.setattr(toxicity, "LEAST_DOCS", 1 if long_only else 3)
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id long, toxic int")
+    held = toxicity.sampled(docs(spark, texts).select("doc_id", "text"), labels, "false").collect()
+    assert {r["toxic"] for r in held} == {0, 1}
+    assert len(held) == (2 if long_only else 180)
+    odd = [(1000, "a vile grotblag and a total snorkwit"), (1001, "the calm harbour and the boats")]
+    by = {r["doc_id"]: r["predicted"] for r in toxic_scores(docs(spark, texts + odd), labels, "false").collect()}
+    assert long_only or by[1000] == 1 and by[1001] == 0

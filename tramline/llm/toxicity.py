@@ -23,8 +23,10 @@ BUCKETS, SIZE = 1 << 18, 8
 GRAMS = (3, 4, 5, 6)
 #: Words of a passage.
 PASSAGE = 2
-#: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes.
+#: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes (half for each label).
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 16_000_000
+#: Longer texts, the shortest first, come into the sample after all others of their label.
+SAMPLE_TEXT = 1_000_000
 #: Passes over the sample: the first WARM_EPOCHS over all passages, the others over each text's TOP most toxic ones.
 EPOCHS, WARM_EPOCHS, TOP, BATCH, RATE = 10, 1, 2, 2048, 0.04
 #: Factor of the bag before the softmax, and the weight decay of the vectors.
@@ -222,15 +224,24 @@ def peaks(data: np.ndarray, offsets: np.ndarray, net: Net) -> np.ndarray:
     return out
 
 
-def fitted(docs: DataFrame, labels: DataFrame, held_out: str) -> Net:
-    """Trains on the bounded sample of the labelled rows that are not held out."""
+def sampled(docs: DataFrame, labels: DataFrame, held_out: str) -> DataFrame:
+    """doc_id, text and toxic of the bounded sample of the labelled rows that are not held out.
+
+    A long text takes no other's place, nor one label the other's; the first of each label is in whatever its length.
+    """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("crc", id_crc32(F.col("doc_id"))).filter(f"NOT ({held_out})")
     rows = docs.select("doc_id", F.octet_length("text").alias("size")).join(known, "doc_id").withColumn("turn", F.xxhash64("doc_id"))
-    picked = [rows.filter(F.col("toxic") == k).orderBy("turn", "doc_id").limit(SAMPLE_ROWS) for k in (0, 1)]
-    running = Window.orderBy("turn", "doc_id")  # over the bounded sample
-    sample = picked[0].union(picked[1]).withColumn("run", F.sum("size").over(running)).filter(F.col("run") <= SAMPLE_BYTES)
-    sample = docs.join(F.broadcast(sample.select("doc_id", "toxic").dropDuplicates(["doc_id"])), "doc_id")
+    order = [F.greatest("size", F.lit(SAMPLE_TEXT)), "turn", "doc_id", "size"]
+    picked = [rows.filter(F.col("toxic") == k).orderBy(*order).limit(SAMPLE_ROWS) for k in (0, 1)]
+    running = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
+    sample = picked[0].union(picked[1]).withColumn("run", F.sum("size").over(running)).withColumn("nth", F.count("*").over(running))
+    sample = sample.filter((F.col("run") <= SAMPLE_BYTES // 2) | (F.col("nth") == 1))
+    return docs.join(F.broadcast(sample.select("doc_id", "toxic").dropDuplicates(["doc_id"])), "doc_id").select("doc_id", "text", "toxic")
+
+
+def fitted(docs: DataFrame, labels: DataFrame, held_out: str) -> Net:
+    """Trains on the bounded sample of the labelled rows that are not held out."""
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -241,7 +252,7 @@ def fitted(docs: DataFrame, labels: DataFrame, held_out: str) -> Net:
             yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((net.worth.tobytes(), *net[1:]), (pa.binary(), *[pa.float64()] * 3), strict=True)], names=["worth", "base", "slope", "shift"])
 
     # one task holds the sample, which is bounded; the driver gets the numbers of Net alone
-    found = sample.select("doc_id", "text", "toxic").repartition(1).mapInArrow(train, "worth binary, base double, slope double, shift double").first()
+    found = sampled(docs, labels, held_out).repartition(1).mapInArrow(train, "worth binary, base double, slope double, shift double").first()
     if found is None:
         return trained(np.zeros(0, np.uint8), np.zeros(1, np.int64), np.zeros(0, np.int64))
     return Net(np.frombuffer(found["worth"], np.float64), found["base"], found["slope"], found["shift"])
