@@ -169,3 +169,12 @@ def test_toxicity_with_long_texts(spark, monkeypatch, long_only):
     odd = [(1000, "a vile grotblag and a total snorkwit"), (1001, "the calm harbour and the boats")]
     by = {r["doc_id"]: r["predicted"] for r in toxic_scores(docs(spark, texts + odd), labels, "false").collect()}
     assert long_only or by[1000] == 1 and by[1001] == 0
+
+
+def test_toxicity_of_a_repeated_id(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 50)
+    texts = [(k, f"{CLEAN} {k}") for k in range(100)] + [(k, f"{CLEAN} again {i}") for k in (3, 5, 7) for i in range(200)] + [(3, f"{CLEAN} 3")] * 9
+    labels = spark.createDataFrame([(k, 0) for k in range(100)], "doc_id long, toxic int")
+    held = [(r["doc_id"], r["text"]) for r in toxicity.sampled(docs(spark, texts).select("doc_id", "text"), labels, "false").collect()]
+    assert len(held) == len({i for i, _ in held}) == 50
+    assert all(t == f"{CLEAN} {i}" for i, t in held)

@@ -228,16 +228,18 @@ def sampled(docs: DataFrame, labels: DataFrame, held_out: str) -> DataFrame:
     """doc_id, text and toxic of the bounded sample of the labelled rows that are not held out.
 
     A long text takes no other's place, nor one label the other's; the first of each label is in whatever its length.
+    Of a repeated doc_id one row, the shortest, can be in it.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("crc", id_crc32(F.col("doc_id"))).filter(f"NOT ({held_out})")
-    rows = docs.select("doc_id", F.octet_length("text").alias("size")).join(known, "doc_id").withColumn("turn", F.xxhash64("doc_id"))
-    order = [F.greatest("size", F.lit(SAMPLE_TEXT)), "turn", "doc_id", "size"]
+    texts = docs.withColumn("key", F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("th")))
+    rows = texts.groupBy("doc_id").agg(F.min("key").alias("key")).join(known, "doc_id").withColumn("turn", F.xxhash64("doc_id")).withColumn("size", F.col("key.size"))
+    order = [F.greatest("size", F.lit(SAMPLE_TEXT)), "turn", "doc_id"]
     picked = [rows.filter(F.col("toxic") == k).orderBy(*order).limit(SAMPLE_ROWS) for k in (0, 1)]
     running = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
     sample = picked[0].union(picked[1]).withColumn("run", F.sum("size").over(running)).withColumn("nth", F.count("*").over(running))
     sample = sample.filter((F.col("run") <= SAMPLE_BYTES // 2) | (F.col("nth") == 1))
-    return docs.join(F.broadcast(sample.select("doc_id", "toxic").dropDuplicates(["doc_id"])), "doc_id").select("doc_id", "text", "toxic")
+    return texts.join(F.broadcast(sample.select("doc_id", "key", "toxic")), ["doc_id", "key"]).select("doc_id", "text", "toxic").dropDuplicates(["doc_id"])
 
 
 def fitted(docs: DataFrame, labels: DataFrame, held_out: str) -> Net:
