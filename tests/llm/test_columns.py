@@ -229,3 +229,11 @@ def test_pipeline(spark, library):
     assert collected(tokens) == plain_bpe(texts, library)
     assert collected(corpus_pipeline.run(spark, DATA)) == collected(tokens)
     assert whole.count() > clean.count()
+
+
+@pytest.mark.parametrize(("tag", "block"), [(MU_LAW, 1), (A_LAW, 1), (IMA_ADPCM, telephony.UNIT)])
+def test_feature_across_pieces(monkeypatch, tag, block):
+    media = wave(np.random.default_rng(0).integers(0, 256, 8192, np.uint8).tobytes(), tag, telephony.RATE, block)
+    whole = telephony.described(media)
+    monkeypatch.setattr(telephony, "PIECE", 4 * telephony.UNIT)
+    assert telephony.described(media) == whole

@@ -135,11 +135,14 @@ def described(media: bytes, rate_out: int = RATE_OUT) -> str:
     """Of the resampled PCM: samples, peak, sum of absolute values, changes of sign, and CRC-32."""
     tag, rate, block, payload = opened(media)
     n = peak = total = turns = crc = 0
+    last = np.zeros(0, bool)  # the sign of the piece before
     for at in range(0, len(payload), PIECE):
         x = resample(decoded(payload[at : at + PIECE], tag, block), rate, rate_out)
         size = np.abs(x.astype(np.int32))
         n, peak, total = n + len(x), max(peak, int(size.max(initial=0))), total + int(size.sum())
-        turns += int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
+        below = np.concatenate((last, x < 0))
+        turns += int(np.count_nonzero(below[1:] != below[:-1]))
+        last = below[-1:]
         crc = zlib.crc32(x.astype("<i2").tobytes(), crc)
     return f"{n}:{peak}:{total}:{turns}:{crc}"
 
