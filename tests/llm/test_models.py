@@ -178,3 +178,10 @@ def test_toxicity_of_a_repeated_id(spark, monkeypatch):
     held = [(r["doc_id"], r["text"]) for r in toxicity.sampled(docs(spark, texts).select("doc_id", "text"), labels, "false").collect()]
     assert len(held) == len({i for i, _ in held}) == 50
     assert all(t == f"{CLEAN} {i}" for i, t in held)
+
+
+def test_toxicity_sample_uses_all_bytes(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 8000)
+    texts = [(k, TOXIC if k % 20 == 0 else CLEAN) for k in range(160)]
+    labels = spark.createDataFrame([(k, int(k % 20 == 0)) for k, _ in texts], "doc_id long, toxic int")
+    assert toxicity.sampled(docs(spark, texts).select("doc_id", "text"), labels, "false").count() == 160

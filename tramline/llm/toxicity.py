@@ -23,7 +23,7 @@ BUCKETS, SIZE = 1 << 18, 8
 GRAMS = (3, 4, 5, 6)
 #: Words of a passage.
 PASSAGE = 2
-#: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes (half for each label).
+#: The classifier is fitted on a bounded sample of the labelled rows, in hashed order: rows of each label, and bytes (half for each label, and what the other leaves of its half).
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 16_000_000
 #: Longer texts, the shortest first, come into the sample after all others of their label.
 SAMPLE_TEXT = 1_000_000
@@ -238,7 +238,9 @@ def sampled(docs: DataFrame, labels: DataFrame, held_out: str) -> DataFrame:
     picked = [rows.filter(F.col("toxic") == k).orderBy(*order).limit(SAMPLE_ROWS) for k in (0, 1)]
     running = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
     sample = picked[0].union(picked[1]).withColumn("run", F.sum("size").over(running)).withColumn("nth", F.count("*").over(running))
-    sample = sample.filter((F.col("run") <= SAMPLE_BYTES // 2) | (F.col("nth") == 1))
+    # what the other label leaves of its half is free
+    sample = sample.withColumn("other", F.sum("size").over(Window.partitionBy()) - F.sum("size").over(Window.partitionBy("toxic")))
+    sample = sample.filter((F.col("run") <= F.greatest(F.lit(SAMPLE_BYTES // 2), SAMPLE_BYTES - F.col("other"))) | (F.col("nth") == 1))
     return texts.join(F.broadcast(sample.select("doc_id", "key", "toxic")), ["doc_id", "key"]).select("doc_id", "text", "toxic").dropDuplicates(["doc_id"])
 
 
