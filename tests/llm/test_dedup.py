@@ -1,14 +1,17 @@
 """Near-duplicates, repeated phrases and repeated strings against plain versions."""
 
 import random
+import zlib
 
 import pytest
 import xxhash
 from fixtures import DATA, TEXTS, collected, covered, docs, least_linked, random_texts, sha, table_texts, words_of
 
 from tramline.llm.common import Scratch
+from tramline.llm.mixture import mixed_texts
 from tramline.llm.phrases import op5_repeated_phrases, phrase_dedup
-from tramline.llm.simhash import components, keep_one, links, near_duplicates, op3_simhash_near_dedup
+from tramline.llm.simhash import components, keep_one, links, near_duplicates, op3_simhash_near_dedup, subspaces
+from tramline.llm.similar import keep_one_similar
 from tramline.llm.substrings import dedup_texts, op8_suffix_dedup, substring_dedup
 
 
@@ -60,8 +63,8 @@ def test_near_query(spark):
     assert collected(op3_simhash_near_dedup(spark, DATA)) == plain_near(table_texts(spark))
 
 
-@pytest.mark.parametrize("crowd", [20, 400])
-def test_links_in_crowded_cells(spark, crowd):
+@pytest.mark.parametrize(("crowd", "parts"), [(20, None), (400, None), (20, 6), (20, 11)])
+def test_links_in_crowded_cells(spark, crowd, parts):
     rng = random.Random(crowd)
     fps = {0, (1 << 64) - 1}
     for base in (rng.getrandbits(64), rng.getrandbits(64) | 1 << 63):
@@ -75,7 +78,7 @@ def test_links_in_crowded_cells(spark, crowd):
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     scratch = Scratch(spark, "test")
     frame = spark.createDataFrame([(x,) for x in signed], "fp long")
-    found = {r["node"]: r["root"] for r in components(links(frame, scratch), scratch).collect()}
+    found = {r["node"]: r["root"] for r in components(links(frame, scratch, parts=parts), scratch).collect()}
     assert [found.get(x, x) for x in signed] == least_linked(fps, signed, 2)
 
 
@@ -114,6 +117,36 @@ def test_strings_at_random(spark, seed):
     assert strings(docs(spark, texts), 12, 6) == plain_strings(texts, 12)
 
 
+def test_cells_become_finer():
+    parts = [subspaces(n, 2) for n in (1, 10**6, 10**8, 10**9, 10**11)]
+    assert parts == sorted(parts) and parts[0] == 4 and parts[-1] > 6
+
+
+@pytest.mark.parametrize("width", [3, 20])
+def test_words_that_recur(spark, width):
+    texts = TEXTS + random_texts(60, ["a", "b", "cc", "d"], 40, 3)
+    words = [tuple(words_of(t)) for _, t in texts]
+    plain = [(i, [x for x, g in zip(w, gone, strict=True) if not g]) for (i, _), w, gone in zip(texts, words, covered(words, width), strict=True)]
+    out = dedup_texts(docs(spark, texts), width, words=True)
+    got = [(r["doc_id"], words_of(r["text"])) for r in out.collect()]
+    assert sorted(got, key=str) == sorted(plain, key=str)
+    assert out.filter("text IS NULL").count() == sum(t is None for _, t in texts)
+
+
+#: Two texts of one CRC-32.
+COLLIDING = [(None, "plumless"), (None, "buckeroo")]
+
+
+def test_texts_of_one_crc(spark):
+    assert len({zlib.crc32(t.encode()) for _, t in COLLIDING}) == 1
+    rows = docs(spark, COLLIDING)
+    for kept in (keep_one(rows), keep_one_similar(rows), mixed_texts(rows), dedup_texts(rows, 3)):
+        assert {r["text"] for r in kept.collect()} == {t for _, t in COLLIDING}
+    longer = [(None, "a b c d " + t) for _, t in COLLIDING] + [(1, "a b c d")]
+    assert phrases(docs(spark, longer), 3) == plain_phrases(longer, 3)
+    assert strings(docs(spark, longer), 5) == plain_strings(longer, 5)
+
+
 def test_strings_query(spark):
     assert collected(op8_suffix_dedup(spark, DATA)) == plain_strings(table_texts(spark), 400)
 

@@ -10,7 +10,9 @@ import hashlib
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tramline.llm.common import cut, doc_texts, table
 
 FILE = "word_bpe_49k.json"
-#: Encoded words that a Python worker remembers; then it begins anew.
-REMEMBERED = 400_000
+#: Encoded words that a Python worker remembers, and as many from before; half as many runs without white space.
+REMEMBERED = 300_000
 #: Unicode white space (fixed values), which regular expressions of other libraries call \s.
 SPACE = "\t-\r \x85\xa0  -     　"
 
@@ -39,6 +41,31 @@ def byte_letters() -> list[str]:
     return out
 
 
+#: Characters at which str.split() splits beside SPACE (fixed values).
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
+
+
+#: A run of text that is encoded by itself: the number of its ids, its ids as decimals joined by spaces, decoded, and as 32-bit numbers.
+Run = tuple[int, str, str, bytes]
+
+
+class Memory:
+    """The newest values by key, between `most` and twice as many."""
+
+    def __init__(self, make: Callable[[str], Run], most: int):
+        self.make, self.most = make, most
+        self.new: dict[str, Run] = {}
+        self.old: dict[str, Run] = {}
+
+    def found(self, key: str) -> Run:
+        out = self.new.get(key)
+        if out is None:
+            if len(self.new) >= self.most:
+                self.old, self.new = self.new, {}
+            out = self.new[key] = self.old.get(key) or self.make(key)
+        return out
+
+
 class Tokenizer:
     """What a tokenizer file of this kind says, as plain tables: byte-level BPE with word ends, NFC and lower case."""
 
@@ -49,70 +76,87 @@ class Tokenizer:
         self.ids: dict[str, int] = dict(model["vocab"])
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[self.ids[a], self.ids[b]] = rank, self.ids[a + b]
+        # the rank of each pair of ids, as one number, and what the pair of each rank becomes
+        self.base = 1 + max(self.ids.values(), default=0)
+        pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
+        self.ranks = {self.ids[a] * self.base + self.ids[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [self.ids[a + b] for a, b in pairs]
         self.letters = byte_letters()
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}"))
         self.gaps = regex.compile(f"[{SPACE}]+")
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known: dict[str, bytes] = {}
+        self.known, self.chunks = Memory(self.word, REMEMBERED), Memory(self.chunk, REMEMBERED // 2)
 
     def merged(self, symbols: list[int]) -> list[int]:
         """Merges the pair of least rank, the leftmost of equals, until none is left."""
-        n, merges = len(symbols), self.merges
+        n, base, rank_of = len(symbols), self.base, self.ranks.get
+        found = [rank_of(a * base + b) for a, b in pairwise(symbols)]
+        queue = [rank * n + i for i, rank in enumerate(found) if rank is not None]
+        if not queue:
+            return symbols
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = [(*merges[pair], i, *pair) for i in range(n - 1) if (pair := (symbols[i], symbols[i + 1])) in merges]
-        queue = [(rank, i, new, a, b) for rank, new, i, a, b in queue]
         heapq.heapify(queue)
         while queue:
-            _, i, new, a, b = heapq.heappop(queue)
+            rank, i = divmod(heapq.heappop(queue), n)
             j = right[i]
-            if symbols[i] != a or j < 0 or symbols[j] != b:
+            if j < 0 or found[i] != rank:  # stale: one of the pair has merged with another
                 continue
-            symbols[i], symbols[j] = new, -1
-            right[i] = right[j]
-            if right[j] >= 0:
-                left[right[j]] = i
-            for at in (left[i], i):
-                to = right[at] if at >= 0 else -1
-                if to >= 0 and (found := merges.get((symbols[at], symbols[to]))):
-                    heapq.heappush(queue, (found[0], at, found[1], symbols[at], symbols[to]))
+            symbols[i] = new = self.made[rank]
+            symbols[j] = -1
+            right[i] = after = right[j]
+            if j < n - 1:
+                found[j] = None
+            if after >= 0:
+                left[after] = i
+                found[i] = rank = rank_of(new * base + symbols[after])
+                if rank is not None:
+                    heapq.heappush(queue, rank * n + i)
+            before = left[i]
+            if before >= 0:
+                found[before] = rank = rank_of(symbols[before] * base + new)
+                if rank is not None:
+                    heapq.heappush(queue, rank * n + before)
         return [s for s in symbols if s >= 0]
 
-    def word(self, word: str) -> list[int]:
+    def run(self, ids: list[int]) -> Run:
+        return len(ids), " ".join(map(str, ids)), self.decode(ids), array("i", ids).tobytes()
+
+    def word(self, word: str) -> Run:
         letters = [self.letters[b] for b in word.encode()]
         letters[-1] += self.suffix
-        return self.merged([self.ids[x] for x in letters if x in self.ids])
+        return self.run(self.merged([self.ids[x] for x in letters if x in self.ids]))
 
-    def chunk(self, chunk: str) -> bytes:
-        """The ids (32-bit) of a run without white space."""
+    def chunk(self, chunk: str) -> Run:
+        """A run without white space."""
         low = chunk.lower() if "Σ" not in chunk else "".join(c.lower() for c in chunk)
-        ids = [i for m in self.words.finditer(low) for i in self.word(m.group())]
-        return np.array(ids, "<i4").tobytes()
+        if low.isalpha():  # one word
+            return self.known.found(low)
+        return joined([self.known.found(m) for m in self.words.findall(low)])
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text as 32-bit numbers; special tokens written in it become their ids."""
-        if self.marks is None or not (found := list(self.marks.finditer(text))):
+    def runs(self, text: str) -> list[Run]:
+        """The text's runs that have ids; special tokens written in it are runs of their own."""
+        if self.marks is None or not any(x in text for x in self.special):
             return self.plain(text)
         out, at = [], 0
-        for m in found:
-            out += [self.plain(text[at : m.start()]), np.array([self.special[m.group()]], "<i4").tobytes()]
+        for m in self.marks.finditer(text):
+            out += [*self.plain(text[at : m.start()]), self.run([self.special[m.group()]])]
             at = m.end()
-        return b"".join([*out, self.plain(text[at:])])
-
-    def plain(self, text: str) -> bytes:
-        known, out = self.known, []
-        for chunk in self.gaps.split(unicodedata.normalize("NFC", text)):
-            ids = known.get(chunk)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[chunk] = self.chunk(chunk) if chunk else b""
-            out.append(ids)
-        return b"".join(out)
+        return [*out, *self.plain(text[at:])]
+
+    def plain(self, text: str) -> list[Run]:
+        text = text if text.isascii() else unicodedata.normalize("NFC", text)
+        chunks = text.split() if not any(x in text for x in ODD_SPACE) else filter(None, self.gaps.split(text))
+        return list(map(self.chunks.found, chunks))
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        return np.frombuffer(b"".join([x[3] for x in self.runs(text)]), np.int32)
+
+    def digest(self, text: str) -> tuple[int, str, str, np.ndarray]:
+        """Number of ids, SHA-256 of the ids (decimal, joined by spaces) and of what they decode to, and the ids."""
+        number, decimals, strings, ids = joined(self.runs(text))
+        return number, hashlib.sha256(decimals.encode()).hexdigest(), hashlib.sha256(strings.encode()).hexdigest(), np.frombuffer(ids, np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Vocabulary strings with a space between, as a file without a decoder asks for; unknown ids are left out."""
@@ -120,6 +164,12 @@ class Tokenizer:
         return " ".join([strings[i] for i in ids if i in strings])
 
 
+def joined(runs: list[Run]) -> Run:
+    """Decimals join by a space, and decoded runs too (see decode)."""
+    runs = [x for x in runs if x[0]]
+    return sum([x[0] for x in runs]), " ".join([x[1] for x in runs]), " ".join([x[2] for x in runs]), b"".join([x[3] for x in runs])
+
+
 _opened: dict[str, Tokenizer] = {}
 
 
@@ -153,14 +203,9 @@ def mapped(rows: DataFrame, path: str, columns: list[str], made: str, make: Call
     return rows.mapInArrow(run, kinds + made)
 
 
-def id_lists(packed: list[bytes]) -> pa.ListArray:
-    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in packed]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-
-
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids of each row; null text counts as empty and has no ids; null ids and repeated rows pass through."""
-    return mapped(doc_texts(docs), path, ["doc_id"], "ids array<int>", lambda t, batch: [id_lists([t.encode(x) for x in batch.column("text").to_pylist()])])
+    return mapped(doc_texts(docs), path, ["doc_id"], "ids array<int>", lambda t, batch: [pa.array([t.encode(x) for x in batch.column("text").to_pylist()], pa.list_(pa.int32()))])
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
@@ -172,17 +217,18 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     return mapped(rows, path, ["doc_id"], "text string", run, None)
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids (decimal, joined by spaces) and of the decoded text."""
+def digests(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the ids (decimal, joined by spaces) and of the decoded text, and the ids themselves if asked for.
+
+    Null text counts as empty; null ids and repeated rows pass through; an empty table gives an empty result.
+    """
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()))[: 3 + ids]
 
     def make(t: Tokenizer, batch: pa.RecordBatch) -> list[pa.Array]:
-        out = []
-        for x in batch.column("text").to_pylist():
-            ids = np.frombuffer(t.encode(x), "<i4").tolist()
-            out.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.decode(ids).encode()).hexdigest()))
-        return [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
+        out = zip(*[t.digest(x) for x in batch.column("text").to_pylist()], strict=True)
+        return [pa.array(c, k) for c, k in zip(out, kinds, strict=False)]
 
-    return mapped(doc_texts(docs), path, ["doc_id"], "n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+    return mapped(doc_texts(docs), path, ["doc_id"], "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids, make)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

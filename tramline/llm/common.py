@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -36,13 +37,13 @@ def doc_texts(docs: DataFrame) -> DataFrame:
 
 
 def keyed_texts(docs: DataFrame, rest: bool = False) -> DataFrame:
-    """doc_texts with th: with doc_id it names a row's text, also where ids repeat with other texts.
+    """doc_texts with th: with doc_id it names a row's text, also where ids repeat or are null with other texts.
 
-    rest: the other columns come along in the struct `row`, where their names clash with nothing.
+    th is half of the text's SHA-256, so no two texts of a corpus share it. rest: the other columns come along in the
+    struct `row`, where their names clash with nothing.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.select("doc_id", (F.crc32(F.encode(text, "UTF-8")) - F.lit(1 << 31)).cast("int").alias("th"), text.alias("text"), *[F.struct(*others(docs)).alias("row")] * rest)
-    return out
+    return docs.select("doc_id", F.unhex(F.substring(F.sha2(F.encode(text, "UTF-8"), 256), 1, 32)).alias("th"), text.alias("text"), *[F.struct(*others(docs)).alias("row")] * rest)
 
 
 def others(docs: DataFrame) -> list[Column]:
@@ -76,14 +77,21 @@ def own_folder() -> str:
 class Scratch:
     """Intermediate tables in the folder that all executors share (spark.checkpoint.dir).
 
-    A table that is kept there cuts lineage: a lost executor repeats only what follows it. Where the setting is
-    missing, as in tests on one machine, it is a new local folder.
+    A table that is kept there cuts lineage: a lost executor repeats only what follows it. Results are lazy and read
+    these tables, so what drop() hasn't deleted goes when the driver ends. Where the setting is missing, a session on
+    one machine, as in tests, gets a new local folder; on a cluster that is an error.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        root = spark.conf.get("spark.checkpoint.dir", None) or own_folder()
-        self.root = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        self.root = f"{(root or own_folder()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
         path = f"{self.root}/{name}"

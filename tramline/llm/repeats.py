@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm.common import Scratch, cut, flat, mixed, same_doc, word_bounds
 
-BLOCKS = "ah long, u long, doc_id long, th int, s int, n int"
+BLOCKS = "ah long, u long, doc_id long, th binary, s int, n int"
 #: Odd bases of the polynomial hashes, modulo 2**64.
 BASES = tuple(int(x) | 1 for x in mixed(np.arange(1, 5, dtype=np.uint64)))
 BYTE_VALUES = mixed(np.arange(256, dtype=np.uint64) + np.uint64(1000))
@@ -136,8 +136,8 @@ def blocks(docs: DataFrame, width: int, gram: int, words: bool) -> DataFrame:
 def recurring(scratch: Scratch, docs: DataFrame, width: int, gram: int, words: bool) -> tuple[DataFrame, DataFrame]:
     """Blocks whose anchor occurs twice or more; and a row for each distinct one of them.
 
-    The second has (ah, u), the number of copies, `kinds` (how many distinct blocks share the anchor), and in `at` the
-    text key and place of one copy. Counts are combined before each shuffle, so a common anchor makes few rows; the
+    The second has (ah, u), a number `block`, the number of copies, `kinds` (how many distinct blocks share the anchor),
+    and in `at` the text key and place of one copy. Counts are combined before each shuffle, so a common anchor makes few rows; the
     joins are of the kind whose large keys adaptive execution splits.
     """
     every = scratch.keep(blocks(docs, width, gram, words), "blocks")
@@ -148,7 +148,10 @@ def recurring(scratch: Scratch, docs: DataFrame, width: int, gram: int, words: b
     kinds = found.groupBy("ah", "u").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "s", "n")).alias("at"))
     kinds = scratch.keep(kinds, "kinds")
     mixed_anchors = scratch.keep(kinds.groupBy("ah").agg(F.count("*").alias("kinds")), "mixed")
-    return found, scratch.keep(kinds.join(mixed_anchors, "ah"), "distinct")
+    distinct = scratch.keep(kinds.join(mixed_anchors, "ah").withColumn("block", F.monotonically_increasing_id()), "distinct")
+    for name in ("anchors", "kinds", "mixed"):
+        scratch.drop(name)
+    return found, distinct
 
 
 def spans_by_doc(spans: DataFrame) -> DataFrame:

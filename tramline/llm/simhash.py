@@ -2,14 +2,16 @@
 
 A 64-bit fingerprint becomes the vector of the numbers of set bits in its 32 two-bit segments. The Manhattan distance of
 two vectors is at most the Hamming distance of their fingerprints, so pairs beyond it need no exact look. A grid over
-the embedding finds the candidates: the dimensions form PARTS subspaces; vectors within distance d differ in at most d
-of them, so they share a cell in at least one choice of PARTS - d subspaces.
+the embedding finds the candidates: the dimensions form some subspaces; vectors within distance d differ in at most d
+of them, so they share a cell in at least one choice of all but d subspaces. The more fingerprints, the more subspaces
+and the finer the cells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import combinations
+from itertools import combinations, pairwise
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,11 @@ SHINGLE = 3
 SEED = 42
 DISTANCE = 2
 SEGMENT_BITS = 2
-PARTS = 4
-#: Cells with more fingerprints than this aren't paired; their fingerprints link through one-bit neighbours instead.
+#: Numbers of subspaces, one of which is taken by the number of fingerprints.
+PARTS = (4, 5, 6, 8, 11)
+#: Chance that two unrelated fingerprints have as many bits in one segment.
+SEGMENT_ALIKE = sum(comb(SEGMENT_BITS, k) ** 2 for k in range(SEGMENT_BITS + 1)) / 4**SEGMENT_BITS
+#: Cells that hold more fingerprints, all near each other, aren't paired; they link through one-bit neighbours instead, as exactly.
 PAIRED_MOST = 32
 
 
@@ -65,11 +70,19 @@ def embedded(fp: Column) -> Column:
     return F.array(*[F.bit_count(F.shiftrightunsigned(fp, k).bitwiseAND(F.lit(mask))).cast("byte") for k in range(0, 64, SEGMENT_BITS)])
 
 
-def cells(vector: Column, distance: int) -> Column:
-    """The grid cells of a vector: for each choice of PARTS - distance subspaces, the choice's number and a hash of the counts."""
-    size = 64 // SEGMENT_BITS // PARTS
-    part = [F.slice(vector, 1 + k * size, size) for k in range(PARTS)]
-    return F.array(*[F.struct(F.lit(n).alias("choice"), F.xxhash64(*[part[k] for k in kept]).alias("hash")) for n, kept in enumerate(combinations(range(PARTS), PARTS - distance))])
+def subspaces(n: int, distance: int) -> int:
+    """The least of PARTS for which a cell holds one of n unrelated fingerprints, or fewer, beside one's own."""
+    for parts in PARTS:
+        if n * SEGMENT_ALIKE ** (64 // SEGMENT_BITS * (parts - distance) // parts) <= 1:
+            break
+    return parts
+
+
+def cells(vector: Column, distance: int, parts: int) -> Column:
+    """The grid cells of a vector: for each choice of all but `distance` subspaces, the choice's number and a hash of the counts."""
+    edge = [64 // SEGMENT_BITS * k // parts for k in range(parts + 1)]
+    part = [F.slice(vector, 1 + a, b - a) for a, b in pairwise(edge)]
+    return F.array(*[F.struct(F.lit(n).alias("choice"), F.xxhash64(*[part[k] for k in kept]).alias("hash")) for n, kept in enumerate(combinations(range(parts), parts - distance))])
 
 
 def manhattan(a: Column, b: Column) -> Column:
@@ -80,7 +93,7 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def links(fps: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> DataFrame:
+def links(fps: DataFrame, scratch: Scratch, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of distinct fingerprints within the distance.
 
     Crowded cells emit no pairs: each fingerprint there is linked with the least one of those that share a neighbour
@@ -88,7 +101,7 @@ def links(fps: DataFrame, scratch: Scratch, distance: int = DISTANCE) -> DataFra
     """
     if distance != 2:
         raise ValueError("crowded cells are linked exactly at distance 2 only")
-    grid = fps.select("fp", embedded(F.col("fp")).alias("v")).select("fp", "v", F.explode(cells(F.col("v"), distance)).alias("cell"))
+    grid = fps.select("fp", embedded(F.col("fp")).alias("v")).select("fp", "v", F.explode(cells(F.col("v"), distance, parts or subspaces(fps.count(), distance))).alias("cell"))
     grid = scratch.keep(grid.select("fp", "v", "cell.choice", "cell.hash"), "grid")
     sizes = scratch.keep(grid.groupBy("choice", "hash").count().filter("count > 1"), "sizes")
     few = sizes.filter(f"count <= {PAIRED_MOST}").select("choice", "hash")

@@ -1,7 +1,7 @@
 """Telephony audio columns: mu-law, A-law and IMA ADPCM to PCM, resampling, and WAVE storage.
 
-Companded samples expand through 256-entry tables made from the companding rules; ADPCM blocks decode side by side, one
-numpy step for the same nibble of all blocks.
+Companded samples expand through 256-entry tables made from the companding rules; the ADPCM blocks of many texts decode
+side by side, one numpy step for the same nibble of all blocks.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tramline.llm.common import Scratch, cut, doc_texts, flat, table
 PCM, A_LAW, MU_LAW, IMA_ADPCM = 0x0001, 0x0006, 0x0007, 0x0011
 RATE, RATE_OUT = 8000, 6000
 UNIT = 64
-#: Samples that the decoders of one text hold at a time (a multiple of UNIT).
+#: Bytes of payload that the decoders hold at a time; longer ones come in pieces.
 PIECE = 1 << 20
 
 
@@ -54,38 +54,58 @@ STEPS = np.array(
 MOVES = np.array([-1, -1, -1, -1, 2, 4, 6, 8] * 2)
 
 
+#: By step index times 16 plus nibble: the signed move of the value, and the next step index times 16.
+CODE = np.arange(len(STEPS) * 16)
+STEP, NIBBLE = STEPS[CODE >> 4], CODE & 15
+SIZE = (STEP >> 3) + np.where(NIBBLE & 4, STEP, 0) + np.where(NIBBLE & 2, STEP >> 1, 0) + np.where(NIBBLE & 1, STEP >> 2, 0)
+DELTA = np.where(NIBBLE & 8, -SIZE, SIZE).astype(np.int32)
+NEXT = (np.clip((CODE >> 4) + MOVES[NIBBLE], 0, len(STEPS) - 1) << 4).astype(np.int32)
+
+
 def adpcm(blocks: np.ndarray) -> np.ndarray:
     """(n, size) bytes, a mono IMA block a row, to (n, 1 + 2 * (size - 4)) samples; header: first sample, step index, 0.
 
-    A step index beyond the table's end is read as the last one, so any bytes decode.
+    All blocks go side by side, a nibble at a time. A step index beyond the table's end is read as the last one, so any
+    bytes decode.
     """
     value = np.ascontiguousarray(blocks[:, :2]).view("<i2")[:, 0].astype(np.int32)
-    index = np.minimum(blocks[:, 2].astype(np.int32), len(STEPS) - 1)
-    out = np.empty((1 + 2 * (blocks.shape[1] - 4), len(blocks)), np.int16)
+    index = np.minimum(blocks[:, 2].astype(np.int32), len(STEPS) - 1) << 4
+    codes = blocks[:, 4:].T.astype(np.int32)
+    out = np.empty((1 + 2 * len(codes), len(blocks)), np.int16)
     out[0] = value
-    for k in range(1, len(out)):
-        byte = blocks[:, 4 + (k - 1) // 2]
-        nibble = (byte >> 4 if k % 2 == 0 else byte & 15).astype(np.int32)
-        step = STEPS[index]
-        move = (step >> 3) + np.where(nibble & 4, step, 0) + np.where(nibble & 2, step >> 1, 0) + np.where(nibble & 1, step >> 2, 0)
-        value = np.clip(value + np.where(nibble & 8, -move, move), -32768, 32767)
-        index = np.clip(index + MOVES[nibble], 0, len(STEPS) - 1)
-        out[k] = value
+    for k, code in enumerate(codes):
+        for half, nibble in enumerate((code & 15, code >> 4)):
+            nibble += index
+            value += DELTA.take(nibble)
+            np.clip(value, -32768, 32767, out=value)
+            index = NEXT.take(nibble)
+            out[1 + 2 * k + half] = value
     return out.T
 
 
-def resample(samples: np.ndarray, rate: int, rate_out: int) -> np.ndarray:
-    """Linear interpolation at exact rational places, in integers; ceil(n * rate_out / rate) samples."""
+def resampled_many(samples: np.ndarray, at: np.ndarray, rate: int, rate_out: int) -> tuple[np.ndarray, np.ndarray]:
+    """Many sounds in one array (n + 1 offsets) at another rate: linear interpolation at exact rational places, in integers.
+
+    A sound of n samples becomes ceil(n * rate_out / rate); beyond its last sample that one is repeated.
+    """
     if rate == rate_out or not len(samples):
-        return samples
+        return samples, at
     common = gcd(rate, rate_out)
     up, down = rate_out // common, rate // common
-    at = np.arange(-(-len(samples) * up // down)) * down
-    left = at // up
-    right = np.minimum(left + 1, len(samples) - 1)
-    part = at - left * up
-    wide = samples.astype(np.int64)
-    return ((wide[left] * (up - part) + wide[right] * part) // up).astype(np.int16)
+    size = np.diff(at)
+    number = -(-size * up // down)
+    to = np.append(0, np.cumsum(number))
+    place = (np.arange(to[-1]) - np.repeat(to[:-1], number)) * down
+    left = place // up
+    part = (place - left * up).astype(np.int32)
+    left += np.repeat(at[:-1], number)
+    right = np.minimum(left + 1, np.repeat(at[1:] - 1, number))
+    wide = samples.astype(np.int32)
+    return ((wide.take(left) * (up - part) + wide.take(right) * part) // up).astype(np.int16), to
+
+
+def resample(samples: np.ndarray, rate: int, rate_out: int) -> np.ndarray:
+    return resampled_many(samples, np.array([0, len(samples)]), rate, rate_out)[0]
 
 
 def wave(payload: bytes, tag: int, rate: int, block: int = 1) -> bytes:
@@ -125,26 +145,80 @@ def decoded(payload: bytes, tag: int, block: int) -> np.ndarray:
     return (MU if tag == MU_LAW else A)[data]
 
 
-def pcm_wave(media: bytes, rate_out: int) -> bytes:
-    """Any of the formats to 16-bit PCM at another rate."""
-    tag, rate, block, payload = opened(media)
-    return wave(resample(decoded(payload, tag, block), rate, rate_out).astype("<i2").tobytes(), PCM, rate_out, 2)
+def pieces(sizes: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(owner, begin, end) of the stretches of payloads that are looked at together: `most` bytes or one piece of a long one."""
+    number = np.maximum(-(-sizes // most), 1)
+    owner = np.repeat(np.arange(len(sizes)), number)
+    begin = (np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)) * most
+    end = np.minimum(begin + most, sizes[owner])
+    group = (np.cumsum(end - begin) - 1) // most
+    new = (group[1:] != group[:-1]) | (owner[1:] == owner[:-1])  # no two pieces of one payload together
+    for part in np.split(np.arange(len(owner)), np.flatnonzero(new) + 1):
+        yield owner[part], begin[part], end[part]
 
 
-def described(media: bytes, rate_out: int = RATE_OUT) -> str:
-    """Of the resampled PCM: samples, peak, sum of absolute values, changes of sign, and CRC-32."""
-    tag, rate, block, payload = opened(media)
-    n = peak = total = turns = crc = 0
-    last = np.zeros(0, bool)  # the sign of the piece before
-    for at in range(0, len(payload), PIECE):
-        x = resample(decoded(payload[at : at + PIECE], tag, block), rate, rate_out)
+class Tally:
+    """Of many sounds, each given in one piece or several in order: samples, peak, sum of absolute values, changes of sign, and CRC-32."""
+
+    def __init__(self, n: int):
+        self.samples, self.peak, self.total, self.turns = (np.zeros(n, np.int64) for _ in range(4))
+        self.crc, self.sign = [0] * n, np.full(n, -1, np.int8)
+
+    def add(self, owner: np.ndarray, x: np.ndarray, at: np.ndarray) -> None:
+        """A piece of each owner, without empty ones; an owner comes once in a call."""
         size = np.abs(x.astype(np.int32))
-        n, peak, total = n + len(x), max(peak, int(size.max(initial=0))), total + int(size.sum())
-        below = np.concatenate((last, x < 0))
-        turns += int(np.count_nonzero(below[1:] != below[:-1]))
-        last = below[-1:]
-        crc = zlib.crc32(x.astype("<i2").tobytes(), crc)
-    return f"{n}:{peak}:{total}:{turns}:{crc}"
+        below = (x < 0).view(np.int8)
+        turn = np.zeros(len(x), np.int64)
+        turn[1:] = below[1:] != below[:-1]
+        first = below[at[:-1]]
+        turn[at[:-1]] = (self.sign[owner] >= 0) & (self.sign[owner] != first)
+        self.sign[owner] = below[at[1:] - 1]
+        self.samples[owner] += np.diff(at)
+        self.peak[owner] = np.maximum(self.peak[owner], np.maximum.reduceat(size, at[:-1]))
+        self.total[owner] += np.add.reduceat(size, at[:-1], dtype=np.int64)
+        self.turns[owner] += np.add.reduceat(turn, at[:-1])
+        data = memoryview(x.astype("<i2")).cast("B")
+        for k, a, b in zip(owner.tolist(), (2 * at[:-1]).tolist(), (2 * at[1:]).tolist(), strict=True):
+            self.crc[k] = zlib.crc32(data[a:b], self.crc[k])
+
+    def told(self) -> list[str]:
+        return [f"{n}:{peak}:{total}:{turns}:{crc}" for n, peak, total, turns, crc in zip(self.samples.tolist(), self.peak.tolist(), self.total.tolist(), self.turns.tolist(), self.crc, strict=True)]
+
+
+def sounds(payloads: list[bytes], tag: int, block: int = 1, rate: int = RATE, rate_out: int = RATE_OUT) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(owner, samples, offsets) of stretches of payloads (whole UNITs each), as resampled PCM; a long one comes in pieces.
+
+    A piece ends with a block of the format and between two places of the resampler, so pieces join without a seam.
+    """
+    whole = UNIT * (rate // gcd(rate, rate_out))
+    for owner, begin, end in pieces(np.array([len(x) for x in payloads]), max(whole, PIECE // whole * whole)):
+        data = b"".join([payloads[k][a:b] for k, a, b in zip(owner.tolist(), begin.tolist(), end.tolist(), strict=True)])
+        pcm = decoded(data, tag, block)
+        at = np.append(0, np.cumsum((end - begin) * len(pcm) // len(data)))
+        yield owner, *resampled_many(pcm, at, rate, rate_out)
+
+
+def described(payloads: list[bytes], tag: int, block: int = 1, rate: int = RATE, rate_out: int = RATE_OUT) -> list[str]:
+    """Each payload's resampled PCM in figures (see Tally)."""
+    out = Tally(len(payloads))
+    for stretch in sounds(payloads, tag, block, rate, rate_out):
+        out.add(*stretch)
+    return out.told()
+
+
+def pcm_waves(media: list[bytes], rate_out: int) -> list[bytes]:
+    """Each of the files (of any of the formats, and whole UNITs) as 16-bit PCM at another rate."""
+    files, out = [opened(x) for x in media], [b""] * len(media)
+    for tag, rate, block in {x[:3] for x in files}:
+        own = [k for k, x in enumerate(files) if x[:3] == (tag, rate, block)]
+        held: list[list[memoryview]] = [[] for _ in own]
+        for owner, x, at in sounds([files[k][3] for k in own], tag, block, rate, rate_out):
+            data = memoryview(x.astype("<i2")).cast("B")
+            for k, a, b in zip(owner.tolist(), (2 * at[:-1]).tolist(), (2 * at[1:]).tolist(), strict=True):
+                held[k].append(data[a:b])
+        for k, parts in zip(own, held, strict=True):
+            out[k] = wave(b"".join(parts), PCM, rate_out, 2)
+    return out
 
 
 def padded(text: bytes) -> bytes:
@@ -165,40 +239,50 @@ def stored(docs: DataFrame, tag: int = MU_LAW) -> DataFrame:
 
 
 def resampled(media: DataFrame, rate_out: int = RATE_OUT) -> DataFrame:
-    """The table of `stored` with its media as 16-bit PCM at rate_out, to be written where it is wanted."""
+    """The table of `stored` with a column `pcm`: its media as 16-bit PCM WAVE files at rate_out."""
 
     def convert(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches, "media"):
-            pcm = [pcm_wave(x.as_buffer().to_pybytes(), rate_out) for x in batch.column("media")]
-            yield batch.set_column(batch.schema.get_field_index("media"), "media", pa.array(pcm, pa.binary()))
+            pcm = pcm_waves([x.as_buffer().to_pybytes() for x in batch.column("media")], rate_out)
+            yield batch.append_column("pcm", pa.array(pcm, pa.binary()))
+
+    kind = media.schema["doc_id"].dataType.simpleString()
+    return media.mapInArrow(convert, f"doc_id {kind}, n_bytes long, media binary, pcm binary")
 
-    return media.mapInArrow(convert, media.schema)
 
+def digests(media: DataFrame) -> DataFrame:
+    """What the stored bytes hold, read back (the table of `resampled`).
 
-def digests(media: DataFrame, codecs: dict[str, tuple[int, int]] | None = None) -> DataFrame:
-    """What the stored bytes hold, read back; the feature describes the payload under each codec (tag, block size)."""
-    codecs = codecs or {"mu": (MU_LAW, 1), "a": (A_LAW, 1), "ima": (IMA_ADPCM, UNIT)}
+    The feature describes the stored PCM, and the payload as it would be under the other codecs, A-law and ADPCM.
+    """
+    others = {"a": (A_LAW, 1), "ima": (IMA_ADPCM, UNIT)}
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches, "media"):
-            out = []
-            for x in batch.column("media"):
-                whole = x.as_buffer().to_pybytes()
-                payload = opened(whole)[3]
-                feature = " ".join(f"{name}={described(wave(payload, tag, RATE, block))}" for name, (tag, block) in codecs.items())
-                out.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(whole), hashlib.sha256(whole).hexdigest(), feature))
+            whole = [x.as_buffer().to_pybytes() for x in batch.column("media")]
+            payloads = [opened(x)[3] for x in whole]
+            heard = [opened(x.as_buffer().to_pybytes())[3] for x in batch.column("pcm")]
+            features = [[f"pcm={x}" for x in described(heard, PCM, 2, RATE_OUT, RATE_OUT)]]  # at its own rate: as stored
+            features += [[f"{name}={x}" for x in described(payloads, tag, block)] for name, (tag, block) in others.items()]
+            columns = [
+                pa.array([len(x) for x in payloads], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in payloads]), pa.array([zlib.crc32(x[-UNIT:]) for x in payloads], pa.int64()),
+                pa.array([len(x) for x in whole], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in whole]), pa.array([" ".join(x) for x in zip(*features, strict=True)]),
+            ]
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            columns = [pa.array(c) for c in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=["doc_id", "n_bytes", *names])
 
     kind = media.schema["doc_id"].dataType.simpleString()
     return media.mapInArrow(read, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
+#: Sound is larger than text: large pages and a high level keep the table near the size of its input.
+KEPT_TIGHT = {"parquet.compression.codec.zstd.level": "12", "parquet.page.size": str(8 << 20)}
+
+
 def op2_telephony_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts as mu-law WAVE files in a kept table, and what is read back from it.
+    """Whole texts as mu-law WAVE files and their resampled PCM in a kept table, and what is read back from it.
 
     Null text counts as empty (64 zero bytes); null ids, repeated rows and an empty table pass through row by row.
     """
-    media = Scratch(spark, "media").keep(stored(table(spark, sf_dir, "documents")), "media")
-    return digests(media)
+    rows = resampled(stored(table(spark, sf_dir, "documents")))
+    return digests(Scratch(spark, "media").keep(rows, "media", **KEPT_TIGHT))
