@@ -115,7 +115,9 @@ def repeated_suffixes(rows: DataFrame, n_rows: int, scratch: Scratch) -> DataFra
 def runs_of(found: DataFrame, width: int) -> DataFrame:
     """(block, b, e): the spans under windows (block, i), a row for each run of neighbouring windows."""
     by = found.groupBy("block").agg(F.collect_set("i").alias("i"))
-    first, last = (F.sort_array(F.array_except("i", F.transform("i", lambda x, d=d: x + d))) for d in (1, -1))
+    # the lambdas take one argument only: Spark passes the place in the list as a second one
+    first = F.sort_array(F.array_except("i", F.transform("i", lambda x: x + 1)))
+    last = F.sort_array(F.array_except("i", F.transform("i", lambda x: x - 1)))
     return by.select("block", F.inline(F.arrays_zip(first.alias("b"), last.alias("e")))).selectExpr("block", "b", f"e + {width} AS e")
 
 
