@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable, Iterator
-from itertools import count
+from itertools import accumulate, count
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,8 @@ STEP_BYTES = 1 << 19
 RATE, BLOCK, LEAST_P = 2.0, 256, 1e-4
 #: Common words whose counts every task holds (16 bytes each); the other words' counts are joined.
 HEAD_WORDS = 1 << 16
+#: Bins of an octave of counts, from which the common words are told.
+FINE = 64
 #: Distinct words that a task holds before it passes their counts on.
 HELD_WORDS = 1 << 20
 WORDS = -1
@@ -151,6 +154,8 @@ LOGITS = ((np.arange(256) >> 2) - 32).astype(np.float32) / 4
 #: The same by confidence: a column for each.
 WORTH = np.where((np.arange(256) & 3)[:, None] == np.arange(4), LOGITS[:, None], np.float32(0))
 IN_COLUMN = ((np.arange(256) & 3)[:, None] == np.arange(4)).astype(float)
+#: Beyond it a bit's probability is held, at LEAST_P from 0 and 1.
+MOST_LOGIT = np.float32(np.log(1 / LEAST_P - 1))
 #: Counts an error in sums of errors, which are far smaller: one sum then holds both.
 ONE = float(1 << 20)
 
@@ -190,6 +195,19 @@ def packed(counts: np.ndarray, paths: list[list[tuple[int, int]]]) -> np.ndarray
     return out.ravel()
 
 
+def common_words(words: DataFrame) -> pd.DataFrame:
+    """(key, n) by key of at most HEAD_WORDS words, the commonest: those whose count's logarithm is over a level.
+
+    The level is read from a histogram of logarithms, of FINE bins an octave. Words of a level that doesn't fit whole
+    are left to the join; which words are here changes no score.
+    """
+    level = F.floor(F.log2("n") * FINE).alias("level")
+    bins = sorted(words.groupBy(level).count().collect(), reverse=True)
+    fit = [b["level"] for b, n in zip(bins, accumulate(b["count"] for b in bins), strict=True) if n <= HEAD_WORDS]
+    found = words.filter(level >= fit[-1]) if fit else words.filter("false")
+    return found.select("key", "n").toPandas().sort_values("key")
+
+
 def fitted(stats: DataFrame, n_train: int) -> Model:
     """Brings the model's bounded parts to the driver: HEAD_WORDS words, and a byte for each of sum(SLOTS) * 256 inner nodes.
 
@@ -197,7 +215,7 @@ def fitted(stats: DataFrame, n_train: int) -> Model:
     """
     words = stats.filter(F.col("which") == WORDS)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = words.orderBy(F.desc("n"), "key").limit(HEAD_WORDS).toPandas().sort_values("key")
+    top = common_words(words)
     cells = stats.filter(F.col("which") >= 0)
     weights = np.ones(SYMBOLS)
     for symbol, n in cells.filter("which = 0").groupBy((F.col("key") % SYMBOLS).alias("symbol")).agg(F.sum("n")).collect():
@@ -228,38 +246,54 @@ def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
     and the gradient needs only the sum of errors for each kind.
     """
     n = len(offsets) - 1
-    doc = np.repeat(np.arange(n), np.diff(offsets))
-    turn = (np.arange(len(syms)) - offsets[doc]) // BLOCK
-    order = np.argsort(turn, kind="stable")
+    symbols_of = np.diff(offsets)
+    number = -(-symbols_of // BLOCK)
+    owner = np.repeat(np.arange(n), number)
+    turn = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+    # of each turn, texts with more blocks to come are first: the others' weights aren't needed again
+    order = np.lexsort((-number[owner], turn))
     slots = contexts(syms, offsets)
+    signs = np.where(model.bits, np.float32(1), np.float32(-1))
     weights = np.repeat(START[:, None, :], n, axis=1)
     score = np.zeros(n)
-    for at in np.split(order, np.flatnonzero(np.diff(turn[order])) + 1):
+    for k, blocks in enumerate(np.split(order, np.flatnonzero(np.diff(turn[order])) + 1)):
+        texts = owner[blocks]
+        held = np.minimum(symbols_of[texts] - k * BLOCK, BLOCK)
+        first = np.cumsum(held) - held
+        at = np.arange(held.sum()) + np.repeat(offsets[texts] + k * BLOCK - first, held)
         s = syms[at]
         size = model.length[s]
         path = np.arange(size.sum()) + np.repeat(model.first[s] - (np.cumsum(size) - size), size)
-        node, bit = model.nodes.take(path), model.bits.take(path)
-        own = doc[at]
-        new = np.concatenate(([True], own[1:] != own[:-1]))
-        texts = own[new]
-        entry = np.repeat((np.cumsum(new) - 1) << 8, size)
+        node, sign = model.nodes.take(path), signs.take(path)
+        bits = np.add.reduceat(size, first)
+        entry = np.repeat(np.arange(len(texts)) << 8, bits)
         x, kinds = np.zeros(len(path), np.float32), []
-        for k, cells in enumerate(model.tables):
-            kind = np.repeat(slots[k][at] << 8, size)
+        for w, cells, slot in zip(weights, model.tables, slots, strict=True):
+            kind = np.repeat(slot[at] << 8, size)
             kind += node
             kind = entry + cells.take(kind)
-            x += (weights[k, texts] @ WORTH.T).ravel().take(kind)
+            x += (w[texts] @ WORTH.T).ravel().take(kind)
             kinds.append(kind)
-        np.clip(x, -30, 30, out=x)
-        p = np.clip(1 / (1 + np.exp(-x)), np.float32(LEAST_P), np.float32(1 - LEAST_P))
-        ends = np.cumsum(size)[np.append(np.flatnonzero(new)[1:], len(at)) - 1]
-        score[texts] += np.add.reduceat(np.log(1 - np.abs(bit - p)), np.append(0, ends[:-1]), dtype=np.float64)
-        error = (bit - p).astype(np.float64) + ONE
-        for k, kind in enumerate(kinds):
-            both = np.bincount(kind, error, len(texts) << 8).reshape(-1, 256)
-            number = np.rint(both / ONE)
-            both -= number * ONE
-            weights[k, texts] += RATE * (both @ WORTH) / (number @ IN_COLUMN + 64)
+        # to the probability of the bit that came
+        x *= sign
+        np.clip(x, -MOST_LOGIT, MOST_LOGIT, out=x)
+        np.negative(x, out=x)
+        np.exp(x, out=x)
+        x += 1
+        np.reciprocal(x, out=x)
+        score[texts] += np.add.reduceat(np.log(x), np.cumsum(bits) - bits, dtype=np.float64)
+        more = int(np.count_nonzero(number[texts] > k + 1))
+        if not more:
+            break
+        until = int(bits[:more].sum())
+        error = np.subtract(1, x[:until], dtype=np.float64)
+        error *= sign[:until]
+        error += ONE
+        for w, kind in zip(weights, kinds, strict=True):
+            both = np.bincount(kind[:until], error, more << 8).reshape(-1, 256)
+            counts = np.rint(both / ONE)
+            both -= counts * ONE
+            w[texts[:more]] += RATE * (both @ WORTH) / (counts @ IN_COLUMN + 64)
     return score / np.log(2)
 
 
