@@ -5,6 +5,10 @@ slot with the last byte of another script than ASCII) hold counts from all train
 domain the predictors' estimates are summed under weights; each weight is gated by its predictor's confidence and is
 refined by gradient steps while a text goes by, starting anew for each text, so a score doesn't depend on other rows
 beside the counts.
+
+A word with the break after it is coded by a mixture of two: the bit predictors, and the word's count in all training
+texts. The counts of words are a table that grows with the corpus. A text's probability is the mean over several shares
+of the two, so the share that fits the text's words so far prevails.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import IS_SPACE, LOWER, Scratch, cut, doc_texts, flat, id_crc32, table, word_bounds
+from tramline.llm.common import IS_SPACE, LOWER, Scratch, cut, doc_texts, flat, id_crc32, lists, table, word_bounds
 from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
 
 #: Symbols: the bytes and the end of a text.
@@ -45,9 +49,14 @@ FINE = 64
 #: Distinct words that a task holds before it passes their counts on.
 HELD_WORDS = 1 << 20
 WORDS = -1
+#: Shares of a word's count beside the bit predictors, each as likely before a text begins.
+SHARES = (0.01, 0.1, 0.3, 0.5, 0.7, 0.9)
+#: Log2 of an odds from which a sum is its greater part.
+SURE = 50
 
 
 SPACE_SYMBOLS = np.append(IS_SPACE, False)
+IS_BREAK = np.append(IS_SPACE, True)
 
 
 def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,6 +156,8 @@ class Model(NamedTuple):
     head_counts: np.ndarray
     total: int
     distinct: int
+    #: Log2 of a symbol's share among the breaks that can follow a word; other symbols have none.
+    breaks: np.ndarray
 
 
 #: The logit that a table's entry stands for.
@@ -236,11 +247,17 @@ def fitted(stats: DataFrame, n_train: int) -> Model:
     return Model(
         length, np.cumsum(length) - length, np.array([x for p in paths for x, _ in p]), np.array([b for p in paths for _, b in p], bool),
         tables, top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64), total + n_train, distinct + (n_train > 0),
+        np.log2(weights / weights[IS_BREAK].sum()),
     )
 
 
 def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
-    """Log2 of each text's probability. Texts go by side by side, a block of each at a time.
+    """Log2 of each text's probability under the bit predictors."""
+    return np.add.reduceat(symbol_scores(syms, offsets, model), offsets[:-1])
+
+
+def symbol_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
+    """Log2 of each symbol's probability. Texts go by side by side, a block of each at a time.
 
     Within a block a text's weights stand still, so a table's entry (256 kinds) adds the same for every bit of the text,
     and the gradient needs only the sum of errors for each kind.
@@ -255,7 +272,7 @@ def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
     slots = contexts(syms, offsets)
     signs = np.where(model.bits, np.float32(1), np.float32(-1))
     weights = np.repeat(START[:, None, :], n, axis=1)
-    score = np.zeros(n)
+    score = np.zeros(len(syms))
     for k, blocks in enumerate(np.split(order, np.flatnonzero(np.diff(turn[order])) + 1)):
         texts = owner[blocks]
         held = np.minimum(symbols_of[texts] - k * BLOCK, BLOCK)
@@ -281,7 +298,7 @@ def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
         np.exp(x, out=x)
         x += 1
         np.reciprocal(x, out=x)
-        score[texts] += np.add.reduceat(np.log(x), np.cumsum(bits) - bits, dtype=np.float64)
+        score[at] = np.add.reduceat(np.log(x), np.cumsum(size) - size)
         more = int(np.count_nonzero(number[texts] > k + 1))
         if not more:
             break
@@ -298,7 +315,11 @@ def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """A row for each of docs, with a row number, the model's score, and the base score without the words of `rare`."""
+    """A row for each of docs, with a row number, and its scores without the counts of the words in `rare`.
+
+    score is log2 of what the bit predictors give, gains what the common words' counts add to it for each share, and
+    spelt what the bit predictors give each word in `rare`.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,26 +328,38 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in cut(batches, most=STEP_BYTES):
             data, offsets = flat(batch.column("text"))
             n = batch.num_rows
-            score = log2_scores(*symbols(data, offsets), m) / np.log2(10)
+            syms, at = symbols(data, offsets)
+            until = np.append(0, np.cumsum(symbol_scores(syms, at, m)))
+            score = np.diff(until[at])
             starts, ends, at = word_bounds(data, offsets)
             key = Rolling(BYTE_VALUES[LOWER[data]], BASES[1])(starts, ends).view(np.int64)
-            owner = np.repeat(np.arange(n), np.diff(at))
+            n_words = np.diff(at)
+            owner = np.repeat(np.arange(n), n_words)
+            # what the bit predictors give a word and its break, less the share of that break
+            spelt = until[ends + owner + 1] - until[starts + owner] - m.breaks[syms[ends + owner]]
             place = np.minimum(np.searchsorted(m.head, key), max(0, len(m.head) - 1))
             common = m.head[place] == key if len(m.head) else np.zeros(len(key), bool)
             logs = np.log10((m.head_counts + 1) / scale)
             base = np.bincount(owner[common], logs[place[common]], n) if common.any() else np.zeros(n)
             rare = np.bincount(owner[~common], minlength=n)
+            gains = np.zeros((n, len(SHARES)))
+            if common.any():
+                odds, of = np.log2(m.head_counts / scale)[place[common]] - spelt[common], owner[common]
+                for k, share in enumerate(SHARES):
+                    gains[:, k] = np.bincount(of, np.logaddexp2(np.log2(1 - share), np.log2(share) + odds), n)
+            at = pa.array(np.concatenate(([0], np.cumsum(rare))).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(row + np.arange(n)), batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(at) + 1), pa.array(np.diff(at) - rare),
-                    pa.array(base), pa.array(score), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(rare))).astype(np.int32)), pa.array(key[~common])),
+                    pa.array(row + np.arange(n)), batch.column("doc_id"), batch.column("held_out"), pa.array(n_words + 1), pa.array(n_words - rare),
+                    pa.array(base), pa.array(score), pa.array(np.diff(offsets)),
+                    pa.ListArray.from_arrays(at, pa.array(key[~common])), pa.ListArray.from_arrays(at, pa.array(spelt[~common])), lists(gains.ravel(), np.full(n, len(SHARES)), pa.float64()),
                 ],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_common", "base", "score", "n_bytes", "rare"],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_common", "base", "score", "n_bytes", "rare", "spelt", "gains"],
             )
             row += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "held_out", "text").mapInArrow(find, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_common long, base double, score double, n_bytes long, rare array<long>")
+    return docs.select("doc_id", "held_out", "text").mapInArrow(find, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_common long, base double, score double, n_bytes long, rare array<long>, spelt array<double>, gains array<double>")
 
 
 def language_scores(docs: DataFrame, held_out: str = "crc % 7 = 2") -> DataFrame:
@@ -344,18 +377,24 @@ def language_scores(docs: DataFrame, held_out: str = "crc % 7 = 2") -> DataFrame
     model = fitted(stats, n_train)
     out = scratch.keep(scored(rows, model), "scored")
     scale = F.lit(float(model.total + model.distinct + 1))
-    rare = out.select("row", F.explode("rare").alias("key")).join(stats.filter(F.col("which") == WORDS).select("key", "n"), "key", "left")
-    rare = rare.groupBy("row").agg(F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / scale)).alias("more"), F.count("n").alias("known"))
+    rare = out.select("row", F.explode(F.arrays_zip("rare", "spelt")).alias("x")).select("row", F.col("x.rare").alias("key"), "x.spelt")
+    rare = rare.join(stats.filter(F.col("which") == WORDS).select("key", "n"), "key", "left")
+    odds = F.coalesce(F.log2(F.col("n") / scale) - F.col("spelt"), F.lit(float("-inf")))
+    gains = [F.when(odds > SURE, odds + float(np.log2(x))).otherwise(F.log2(1 - x + x * F.pow(F.lit(2.0), odds))) for x in SHARES]
+    rare = rare.groupBy("row").agg(F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / scale)).alias("more"), F.count("n").alias("known"), F.array(*map(F.sum, gains)).alias("more_gains"))
     end = F.log10((F.lit(n_train) + 1) / scale)
-    return out.join(rare, "row", "left").select(
+    out = out.join(rare, "row", "left").withColumn("gains", F.when(F.col("more_gains").isNull(), F.col("gains")).otherwise(F.zip_with("gains", "more_gains", lambda x, y: x + y)))
+    mean = F.aggregate("gains", F.lit(0.0), lambda total, x: total + F.pow(F.lit(2.0), x - F.array_max("gains")), lambda total: F.log2(total / len(SHARES)))
+    score = (F.col("score") + F.array_max("gains") + mean) / float(np.log2(10))
+    return out.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_common") + F.coalesce("known", F.lit(0)) + F.lit(int(n_train > 0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) + end).alias("base_score"),
-        "score",
-        (-F.col("score") * float(np.log2(10)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
+        score.alias("score"),
+        (-score * float(np.log2(10)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
 
 
