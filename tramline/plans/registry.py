@@ -11,7 +11,7 @@ from tramline.functions.times import schedule_offset
 from tramline.operators import deviation, extensions, quality, stats, stops, validate
 from tramline.plans import tables as t
 from tramline.sources import messages
-from tramline.sources.polling import ALARM, WAIT, WAIT_MOST
+from tramline.sources.polling import wait_seconds
 from tramline.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,9 +101,19 @@ def p_skipped(spark: SparkSession, sf: str) -> DataFrame:
     return validate.skipped(raw_entities(spark, sf))
 
 
-@query()
+ISO = "strftime(make_timestamp((CAST(sec AS BIGINT) + {}) * 1000000), '%Y-%m-%dT%H:%M:%S.%gZ')"
+
+
+@query(
+    f"""SELECT vid AS key, 'mbta' AS agency_id, vid AS vehicle_id, route_id, event_type AS current_status, {ISO.format(0)} AS "timestamp", {ISO.format(5)} AS ingested_at, true AS null_is_written
+  FROM checked WHERE reason IS NULL""",
+    ENTITIES,
+)
 def p_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    return messages.envelope(validate.telemetry(raw_entities(spark, sf)))
+    """The messages' keys and the fields in their JSON, taken in five seconds after the report."""
+    out = messages.envelope(validate.telemetry(raw_entities(spark, sf)), ingested_at=F.expr("timestamp + INTERVAL 5 SECONDS"))
+    fields = ("agency_id", "vehicle_id", "route_id", "current_status", "timestamp", "ingested_at")
+    return out.select("key", *[F.get_json_object("value", f"$.{c}").alias(c) for c in fields], F.contains("value", F.lit('"stop_id":null')).alias("null_is_written"))
 
 
 @query("SELECT vid AS vehicle_id, CAST(-71 AS DOUBLE) AS lon, lat, make_timestamp(CAST(sec AS BIGINT) * 1000000) AS \"timestamp\" FROM checked WHERE reason IS NULL", ENTITIES)
@@ -391,8 +401,7 @@ def o_topk_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT CAST(f AS BIGINT) AS failures, CAST(CASE WHEN f < 5 THEN 15 ELSE least(15 * pow(2, f - 5), 300) END AS BIGINT) AS wait_seconds FROM range(0, 21) AS r(f)")
 def f_backoff_curve(spark: SparkSession, sf: str) -> DataFrame:
-    wait = F.when(F.col("id") < ALARM, F.lit(WAIT)).otherwise(F.least(WAIT * F.pow(F.lit(2), F.col("id") - ALARM), F.lit(WAIT_MOST)))
-    return spark.range(21).select(F.col("id").alias("failures"), wait.cast("long").alias("wait_seconds"))
+    return spark.createDataFrame([(n, wait_seconds(n)) for n in range(21)], "failures long, wait_seconds long")
 
 
 # streaming operators over stored rows
@@ -471,6 +480,23 @@ def n_terminal_dwell(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast(NTZ) for c in ("began", "ended")})
 
 
+ARRIVALS = """stops_made AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_linenumber AS VARCHAR) AS stop_id, epoch(CAST(l_shipdate AS TIMESTAMP)) AS actual, epoch(CAST(l_shipdate AS TIMESTAMP)) - 60 * (l_partkey % 30) AS made, epoch(CAST(l_shipdate AS TIMESTAMP)) + l_suppkey % 600 - 300 AS predicted FROM lineitem),
+joined AS (SELECT p.made, p.predicted, a.actual FROM stops_made p JOIN stops_made a ON p.trip_id = a.trip_id AND p.stop_id = a.stop_id)"""
+
+
+@query(
+    """SELECT CAST(floor((actual - made) / 60) AS BIGINT) AS minutes_ahead, CAST(count(*) AS BIGINT) AS n, round(avg(actual - predicted), 6) AS mean_error, round(avg(abs(actual - predicted)), 6) AS mean_abs_error
+  FROM joined GROUP BY 1""",
+    ARRIVALS,
+)
+def n_prediction_error(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as stops: shipped when arrived, up to half an hour after the prediction was made."""
+    rows = t.read(spark, sf, "lineitem")
+    key = ("CAST(l_orderkey AS STRING) AS trip_id", "CAST(l_linenumber AS STRING) AS stop_id")
+    predictions = rows.selectExpr(*key, "timestamp_seconds(unix_seconds(CAST(l_shipdate AS TIMESTAMP)) - 60 * (l_partkey % 30)) AS predicted_on", "timestamp_seconds(unix_seconds(CAST(l_shipdate AS TIMESTAMP)) + l_suppkey % 600 - 300) AS predicted_time")
+    return extensions.prediction_error(predictions, rows.selectExpr(*key, "CAST(l_shipdate AS TIMESTAMP) AS actual_time"))
+
+
 @query("SELECT route_id, date_trunc('week', actual) AS week, CAST(count(*) AS BIGINT) AS n, round(avg(dev), 6) AS mean_seconds, CAST(count(*) FILTER (abs(dev) > 300) AS BIGINT) AS n_off FROM deviations GROUP BY 1, 2", *DEVIATIONS)
 def n_weekly_report(spark: SparkSession, sf: str) -> DataFrame:
     out = extensions.weekly_report(deviation_rows(spark, sf), "actual")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions.times import iso_utc
@@ -19,13 +19,11 @@ def envelope(telemetry: DataFrame, agency_id: str = AGENCY_ID, ingested_at: Colu
 
 
 def to_log(messages: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS) -> int:
-    """Appends to a Parquet log in key-hash partitions and returns the number written; no rows write nothing."""
-    if messages.isEmpty():
-        return 0
+    """Appends to a Parquet log in key-hash partitions and returns the number written, counted by the write itself."""
+    seen = Observation()
     rows = messages.withColumn("partition", F.pmod(F.hash("key"), F.lit(partitions)).cast("int")).withColumn("timestamp", F.current_timestamp())
-    n = messages.count()
-    rows.write.mode("append").partitionBy("partition").parquet(path)
-    return n
+    rows.observe(seen, F.count("*").alias("n")).write.mode("append").partitionBy("partition").parquet(path)
+    return seen.get["n"]
 
 
 def to_kafka(messages: DataFrame, brokers: str, topic: str = TOPIC) -> None:
