@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -69,21 +70,21 @@ def visited(h: Hashes, x: np.ndarray, sizes: np.ndarray, fraction: float) -> lis
     return out
 
 
-def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's k largest inner products (query id, id, score), never with itself; ties to smaller ids.
+def best(q_rows: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's k largest inner products (places of query and candidate, score), never with its own row; ties to smaller ids, then rows.
 
     The fast product only finds those that may belong there; each score is a plain sum of its own products.
     """
     rough = q @ x.T
-    rough[q_ids[:, None] == ids[None]] = -np.inf
-    least = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
+    rough[q_rows[:, None] == rows[None]] = -np.inf
+    least = np.partition(rough, -k, axis=1)[:, -k] if len(rows) > k else np.full(len(q), -np.inf)
     slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
     a, b = np.nonzero((rough >= (least - slack)[:, None]) & (rough > -np.inf))
     score = np.concatenate([(q[a[i : i + 65536]] * x[b[i : i + 65536]]).sum(axis=1) for i in range(0, len(a), 65536)] or [np.zeros(0)])
-    order = np.lexsort((ids[b], -score, a))
+    order = np.lexsort((rows[b], ids[b], -score, a))
     a, b, score = a[order], b[order], score[order]
     rank = np.arange(len(a)) - np.searchsorted(a, a)
-    return q_ids[a[rank < k]], ids[b[rank < k]], score[rank < k]
+    return a[rank < k], b[rank < k], score[rank < k]
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> np.ndarray:
@@ -92,23 +93,23 @@ def matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding of the rows that take part: no null id, no null, empty or zero vector, no null or non-finite component."""
+    """vec_id and embedding of the rows that take part: no null, empty or zero vector, no null or non-finite component."""
     bad = F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return vectors.select("vec_id", "embedding").filter(F.col("vec_id").isNotNull() & ~bad & F.exists("embedding", lambda v: v != 0))
+    return vectors.select("vec_id", "embedding").filter(~bad & F.exists("embedding", lambda v: v != 0))
 
 
 def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = NEAREST, fraction: float = FRACTION, seed: int = 0) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products found for each query row.
 
     Rows that don't take part (see usable) and those of another length than the commonest are no query and no
-    candidate. A repeated id is one row, with its least embedding. Fewer candidates than k give fewer rows. Without rows
-    the result is empty.
+    candidate. Each row is its own candidate, and query if its id is one, also where ids repeat; a null id is no query,
+    and last among equal scores. Fewer candidates than k give fewer rows. Without rows the result is empty.
     """
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession, "neighbours")
-    rows = usable(vectors).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    rows = scratch.keep(rows, "rows")
+    # numbers that no two rows share; they stay as they are, since the table is written
+    rows = scratch.keep(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "rows")
     found = rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda s, v: s + v.cast("double") * v)).alias("norm")).orderBy(F.desc("n"), "d").first()
-    result = "query_id long, vec_id long, score double"
+    result = "q_row long, query_id long, row long, vec_id long, score double"
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dimension, norm = found["d"], float(np.sqrt(found["norm"]))
@@ -119,12 +120,12 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = NEARE
         for batch in batches:
             if batch.num_rows:
                 buckets = held.value.buckets(matrix(batch.column("embedding"), dimension))
-                ids = batch.column("vec_id")
                 for t in range(TABLES):
-                    yield pa.RecordBatch.from_arrays([pa.array(t * BINS**PROJECTIONS + buckets[t], pa.int32()), ids, batch.column("embedding")], names=["bucket", "vec_id", "embedding"])
+                    yield pa.RecordBatch.from_arrays([pa.array(t * BINS**PROJECTIONS + buckets[t], pa.int32()), *batch.select(names).columns], names=["bucket", *names])
 
-    element = rows.schema["embedding"].dataType.simpleString()
-    index = scratch.keep(rows.mapInArrow(place, f"bucket int, vec_id long, embedding {element}"), "index")
+    names = ["vec_id", "embedding", "row"]
+    kinds = f"vec_id long, embedding {rows.schema['embedding'].dataType.simpleString()}, row long"
+    index = scratch.keep(rows.mapInArrow(place, f"bucket int, {kinds}"), "index")
     # at most TABLES * BINS ** PROJECTIONS numbers, at any size
     sizes = np.zeros(TABLES * BINS**PROJECTIONS)
     for r in index.groupBy("bucket").count().collect():
@@ -142,34 +143,38 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = NEARE
                 own = np.flatnonzero(of == s)
                 some = np.flatnonzero(masks[:, own].any(axis=1))
                 lists = [own[masks[i, own]].tolist() for i in some]
-                part = batch.take(pa.array(some))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), s, np.int32)), *part.columns, pa.array(lists, pa.list_(pa.int32()))], names=["shard", "vec_id", "embedding", "buckets"])
+                part = batch.select(names).take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), s, np.int32)), *part.columns, pa.array(lists, pa.list_(pa.int32()))], names=["shard", *names, "buckets"])
 
-    probes = rows.filter(queries).mapInArrow(probe, f"shard int, vec_id long, embedding {element}, buckets array<int>")
-    left, right = grid(scratch, index.withColumn("shard", F.col("bucket") % shards), scratch.keep(probes, "probes"), ["shard"], SHARD_ROWS, SHARD_QUERIES, ("vec_id", "vec_id"))
+    probes = rows.filter(queries).mapInArrow(probe, f"shard int, {kinds}, buckets array<int>")
+    left, right = grid(scratch, index.withColumn("shard", F.col("bucket") % shards), scratch.keep(probes, "probes"), ["shard"], SHARD_ROWS, SHARD_QUERIES, ("row", "row"))
 
     def search(candidates: pa.Table, asked: pa.Table) -> pa.Table:
-        ids, x, bucket = candidates.column("vec_id").to_numpy(), matrix(candidates.column("embedding"), dimension), candidates.column("bucket").to_numpy()
-        q_ids, q = asked.column("vec_id").to_numpy(), matrix(asked.column("embedding"), dimension)
+        own, x, bucket = candidates.column("row").to_numpy(), matrix(candidates.column("embedding"), dimension), candidates.column("bucket").to_numpy()
+        ids = pc.fill_null(candidates.column("vec_id"), np.iinfo(np.int64).max).to_numpy()
+        q_own, q = asked.column("row").to_numpy(), matrix(asked.column("embedding"), dimension)
         lists = asked.column("buckets").combine_chunks()
-        to, of = np.repeat(np.arange(len(q_ids)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+        to, of = np.repeat(np.arange(len(q_own)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
         parts = []
-        for b in np.unique(bucket) if len(q_ids) else ():
-            rows_, some = np.flatnonzero(bucket == b), to[of == b]
-            for at in range(0, len(some), 512):
-                parts.append(best(q_ids[some[at : at + 512]], q[some[at : at + 512]], ids[rows_], x[rows_], k))
+        for bin_ in np.unique(bucket) if len(q_own) else ():
+            at, some = np.flatnonzero(bucket == bin_), to[of == bin_]
+            for k0 in range(0, len(some), 512):
+                few = some[k0 : k0 + 512]
+                a, b, score = best(q_own[few], q[few], own[at], ids[at], x[at], k)
+                parts.append((few[a], at[b], score))
         a, b, score = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        order = np.lexsort((b, -score, a))
+        order = np.lexsort((own[b], ids[b], -score, a))
         a, b, score = a[order], b[order], score[order]
         new = np.ones(len(a), bool)  # a candidate of both tables comes twice in a row
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        new[1:] = (a[1:] != a[:-1]) | (own[b[1:]] != own[b[:-1]])
         a, b, score = a[new], b[new], score[new]
         first = np.arange(len(a)) - np.searchsorted(a, a) < k
-        return pa.table({"query_id": a[first], "vec_id": b[first], "score": score[first]})
+        a, b = a[first], b[first]
+        return pa.table({"q_row": q_own[a], "query_id": asked.column("vec_id").take(pa.array(a)), "row": own[b], "vec_id": candidates.column("vec_id").take(pa.array(b)), "score": score[first]})
 
     cell = ["shard", "gl", "gr"]
     hits = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(search, result).distinct()
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("q_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
