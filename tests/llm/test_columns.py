@@ -1,6 +1,7 @@
 """Media, token files, mixtures, neighbours, BPE and the pipeline against plain versions, libraries and SQL."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -157,14 +158,73 @@ def test_mixture_targets(spark):
     assert q["none"]["epochs"] == 1
 
 
+def plain_uses(rows: list[tuple], a: float) -> Counter:
+    """How many tokens of each source its whole epochs and the part of one more may take, from the exponent: (epochs, part)."""
+    tokens = Counter()
+    for _, source, n in rows:
+        tokens[source] += n
+    total = sum(tokens.values())
+    p = {s: n / total for s, n in tokens.items() if n}
+    z = sum(x**a for x in p.values())
+    aim = max(x ** (1 - a) for x in p.values()) * z * total
+    out = {}
+    for s, n in tokens.items():
+        quota = round(p[s] ** a / z * aim) if n else 0
+        out[s] = divmod(quota, n) if n else (1, 0)
+    return out
+
+
+@pytest.mark.parametrize("repeat_most", [1.0, 1.3, 2.0, 5.0])
+def test_mixture_against_plain_membership(spark, repeat_most):
+    """Whole epochs hold every row once; the last one holds just the rows of its permutation that end within the rest of the quota."""
+    rng = random.Random(int(repeat_most * 10))
+    rows = [(k, rng.choice(["big"] * 12 + ["mid"] * 4 + ["small", None]), rng.randrange(0, 60)) for k in range(400)]
+    df = spark.createDataFrame([(i, s, "x" * n) for i, s, n in rows], "doc_id long, source string, text string").repartition(3)
+    by = shares(df.selectExpr("source", "CAST(length(text) AS LONG) AS tokens"))
+    plan = plain_uses(rows, exponent(by, repeat_most=repeat_most))
+    got = defaultdict(list)
+    for r in mixture(df, ["doc_id"], repeat_most=repeat_most).collect():
+        got[r["source"], r["epoch"]].append(r)
+    order = {}
+    for (s, e), part in got.items():
+        part.sort(key=lambda r: (r["start"], r["tokens"] > 0))
+        order[s, e] = part
+    for s, (epochs, rest) in plan.items():
+        whole = {i: n for i, t, n in rows if t == s}
+        for e in range(epochs):
+            part = order[s, e]
+            assert sorted(r["doc_id"] for r in part) == sorted(whole)
+            assert [r["start"] for r in part] == np.cumsum([0, *[r["tokens"] for r in part[:-1]]]).tolist()
+        last = order.get((s, epochs), [])
+        assert {e for t, e in order if t == s} <= set(range(epochs + 1)) and len({r["doc_id"] for r in last}) == len(last)
+        assert all(r["tokens"] == whole[r["doc_id"]] and r["start"] + r["tokens"] <= rest for r in last)
+        # nothing before the first row that is left out is missing: what is there fills the starts without a gap
+        filled = sum(r["tokens"] for r in last)
+        assert [r["start"] for r in last] == np.cumsum([0, *[r["tokens"] for r in last[:-1]]]).tolist()[: len(last)]
+        left_out = [n for i, n in whole.items() if i not in {r["doc_id"] for r in last}]
+        assert not left_out or rest == 0 or filled + max(left_out) > rest
+
+
 def test_mixture_odd_cases(spark):
-    ids = {r["doc_id"] for r in mixture(docs(spark), ["doc_id"]).collect()}
-    assert ids <= {i for i, _ in TEXTS}
-    assert mixture(docs(spark).filter("false"), ["doc_id"]).collect() == []
-    mixed = mixed_texts(docs(spark), repeat_most=1.25)
-    assert mixed.columns == docs(spark).columns
-    assert {(r["doc_id"], r["text"]) for r in mixed.collect()} <= set(TEXTS)
-    assert shares(docs(spark).filter("false").selectExpr("source", "1L AS tokens")).collect() == []
+    given = docs(spark)
+    uses = Counter(r["doc_id"] for r in mixture(given, ["doc_id"], repeat_most=1.0).collect())
+    assert uses == Counter(i for i, _ in TEXTS)  # every row once
+    assert mixture(given.filter("false"), ["doc_id"]).collect() == []
+    assert shares(given.filter("false").selectExpr("source", "1L AS tokens")).collect() == []
+
+
+def test_mixed_texts_lose_no_row(spark):
+    given = docs(spark)
+    mixed = mixed_texts(given, repeat_most=1.0)
+    assert mixed.schema == given.schema
+    assert collected(mixed) == collected(given)  # used once each: just the rows themselves
+    rows = [(1, "same text", "s1", 1), (1, "same text", "s2", 2), (1, "same text", "s2", 2), (1, "same text", None, 1), (2, "other text of s1", "s1", 1), (None, None, "s1", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    assert collected(mixed_texts(df, repeat_most=1.0)) == sorted(rows, key=str)
+    more = Counter(map(tuple, mixed_texts(df, repeat_most=2.0).collect()))
+    assert set(more) == set(rows) and all(n >= rows.count(r) for r, n in more.items())
+    # s1 has 25 of 52 bytes, s2 18 and no source 9: the least is used up to twice, and each use is whole
+    assert more[(1, "same text", None, 1)] == 2 and more[(2, "other text of s1", "s1", 1)] == 1
 
 
 def plain_nearest(rows: list[tuple], step: int, k: int) -> dict:
@@ -193,13 +253,23 @@ def test_neighbours_query(spark):
 
 def test_neighbours_odd_cases(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(20, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, []), (9, [1.0]), (None, [1.0, 1.0]), (40, [0.0, -1.0]), (2, [2.0, 0.0])]
-    got = collected(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2, fraction=1.0))
-    assert got == [(20, 1, 1, 2.0), (20, 2, 2, 2.0), (40, 1, 1, 0.0), (40, 2, 2, 0.0)] or [r[:3] for r in got] == [(20, 1, 1), (20, 2, 2), (40, 1, 1), (40, 2, 2)]
+    rows = [(20, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, []), (9, [1.0]), (None, [1.5, 1.0]), (40, [0.0, -1.0]), (2, [2.0, 0.0])]
+    table = spark.createDataFrame([(*r, 5, "s", 7) for r in rows], "vec_id long, embedding array<double>, bucket int, shard string, row int").repartition(3)
+    got = collected(nearest(table, k=4, fraction=1.0))
+    assert got == sorted([(20, 1, 1, 2.0), (20, 2, 2, 2.0), (20, 3, 2, 2.0), (20, 4, None, 1.5), (40, 1, 1, 0.0), (40, 2, 2, 0.0), (40, 3, 2, 0.0), (40, 4, 20, 0.0)], key=str)
     assert nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).collect() == []
     assert nearest(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<double>")).collect() == []
 
 
+def test_neighbours_of_repeated_ids(spark):
+    """Rows that share an id are candidates and queries each for itself."""
+    rows = [(1, [2.0, 0.0]), (1, [9.0, 0.0]), (20, [1.0, 0.0]), (20, [0.5, 3.0]), (2, [-1.0, 1.0])]
+    got = collected(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2), k=4, fraction=1.0))
+    first = [(20, 1, 1, 9.0), (20, 2, 1, 2.0), (20, 3, 20, 0.5), (20, 4, 2, -1.0)]
+    second = [(20, 1, 1, 4.5), (20, 2, 2, 2.5), (20, 3, 1, 1.0), (20, 4, 20, 0.5)]
+    assert got == sorted(first + second, key=str)
+
+
 @pytest.fixture(scope="module")
 def library() -> Library:
     tokenizer = Library.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -264,7 +334,13 @@ def test_pipeline_odd_cases(spark, library):
         out = stage(spark, kept[-1], DATA)
         if name != "bpe":
             assert out.schema == given.schema, name
-            assert {(r["doc_id"], r["lang"], r["th"], r["row"], r["spans"], r["u"]) for r in out.collect()} <= {(i, "en", 7, "r", "s", 0.5) for i, _ in TEXTS}
+            ids, before = (Counter(r["doc_id"] for r in x.collect()) for x in (out, kept[-1]))
+            assert not ids - before or name == "mixing", name
+            if name == "suffix_dedup":  # no row goes
+                assert ids == before
+            if name == "mixing":  # each row once at least
+                assert ids.keys() == before.keys() and not before - ids
+            assert {(r["lang"], r["th"], r["row"], r["spans"], r["u"]) for r in out.collect()} == {("en", 7, "r", "s", 0.5)}
         kept.append(corpus_pipeline.Scratch(spark, "test").keep(out, name))
         assert stage(spark, given.filter("false"), DATA).collect() == []
     texts = [(r["doc_id"], r["text"]) for r in kept[-2].collect()]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Scratch, keyed_texts, same_doc, table, unpacked
+from tramline.llm.common import Scratch, keyed_texts, table, unpacked
 
 REPEAT_MOST = 2.0
 BLOCK_DOCS = 1024
@@ -124,11 +124,17 @@ def mixture(docs: DataFrame, ids: list[str], entropy: float | None = None, repea
 
 
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
-    """docs with each row as often as the mixture uses it. Rows alike in id and text are one row with all their uses."""
+    """docs with each row as often as the mixture uses it.
+
+    A row is named by a digest of all its columns, so rows that differ in any, as in their source, are used each by
+    itself. Rows alike in all columns are one row with all their uses.
+    """
     keyed = keyed_texts(docs, rest=True)
-    uses = mixture(keyed.withColumn("source", F.col("row.source")), ["doc_id", "th"], **options)
-    copies = uses.groupBy("doc_id", "th").agg(F.count("*").cast("int").alias("copies"))
-    out = same_doc(keyed.dropDuplicates(["doc_id", "th"]), copies, "inner")
+    rest = F.to_json("row", {"ignoreNullFields": "false"})
+    keyed = keyed.select(F.unhex(F.substring(F.sha2(F.concat(F.hex("th"), rest), 256), 1, 32)).alias("rh"), "text", "row")
+    uses = mixture(keyed.withColumn("source", F.col("row.source")), ["rh"], **options)
+    copies = uses.groupBy("rh").agg(F.count("*").cast("int").alias("copies"))
+    out = keyed.dropDuplicates(["rh"]).join(copies, "rh")
     return unpacked(out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs)
 
 
