@@ -20,8 +20,10 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-def test_one_shuffle_for_dedup_and_gaps(spark):
+def test_pings_are_shuffled_once_for_dedup_and_gaps(spark):
     from tramline.plans.registry import gap_rows
 
     plan = gap_rows(spark, DATA)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("REPARTITION_BY_COL") == 1
+    # besides, each vehicle's last ping of each day: one row for both, combined before the shuffle
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("partial_max_by") == 1

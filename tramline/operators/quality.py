@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.geo import displacement_meters
 from tramline.functions.times import exact_seconds_between, seconds_between
+from tramline.operators import stats
 from tramline.settings import POLL_SECONDS
 
 DWELL_METERS = 50
@@ -17,14 +18,28 @@ SWEEP = (0.75, 0.9, 0.95, 0.99)
 GAP = "real_update_gap_seconds"
 
 
-def latest(pings: DataFrame, tiebreak: Sequence[str] = (), key: Sequence[str] = ("vehicle_id", "timestamp")) -> DataFrame:
-    """One row for each key: the latest ingested, then the greatest tiebreak, then the greatest row hash.
+def with_day(pings: DataFrame) -> DataFrame:
+    """_day, by which a vehicle's rows are dealt: its UTC day. Rows without a vehicle or a timestamp have none."""
+    if "_day" in pings.columns:
+        return pings
+    return pings.withColumn("_day", F.when(F.col("vehicle_id").isNotNull(), F.unix_date(F.col("timestamp").cast("date"))))
 
-    Rows are dealt by vehicle, which also serves the per-vehicle windows that follow: one shuffle, not two.
+
+def order_of_rows(pings: DataFrame, tiebreak: Sequence[str] = ()) -> list[Column]:
+    """What the best of alike rows has most of: ingestion time (where reported), then the tiebreak, then the row hash. NULL is least."""
+    return [*map(F.col, [c for c in ("ingested_at",) if c in pings.columns]), *map(F.col, tiebreak), F.xxhash64(*pings.columns)]
+
+
+def latest(pings: DataFrame, tiebreak: Sequence[str] = (), days: bool = False) -> DataFrame:
+    """One row for each (vehicle_id, timestamp): the latest ingested, then the greatest tiebreak, then the greatest row hash.
+
+    Rows are dealt by vehicle and day, so that no vehicle's history has to fit one task and there may be more tasks than
+    vehicles. days: `_day` stays, and `gaps` then needs no shuffle of its own.
     """
-    order = [F.desc_nulls_last("ingested_at"), *map(F.desc_nulls_last, tiebreak), F.desc(F.xxhash64(*pings.columns))]
-    w = Window.partitionBy(*key).orderBy(*order)
-    return pings.repartition(key[0]).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    order = [c.desc_nulls_last() for c in order_of_rows(pings, tiebreak)]
+    w = Window.partitionBy("vehicle_id", "_day", "timestamp").orderBy(*order)
+    out = with_day(pings).repartition("vehicle_id", "_day").withColumn("_n", F.row_number().over(w)).filter("_n = 1")
+    return out.drop("_n") if days else out.drop("_n", "_day")
 
 
 def dedup_report(pings: DataFrame, key: Sequence[str] = ("vehicle_id", "timestamp")) -> DataFrame:
@@ -34,11 +49,36 @@ def dedup_report(pings: DataFrame, key: Sequence[str] = ("vehicle_id", "timestam
     return by.agg(rows.alias("n_rows"), kept.alias("n_deduped"), F.round(100 * (1 - F.try_divide(kept, rows)), 6).alias("pct_removed"))
 
 
-def gaps(pings: DataFrame) -> DataFrame:
-    """Each ping with its vehicle's one before, and the seconds between; first pings go."""
-    w = Window.partitionBy("vehicle_id").orderBy("timestamp")
-    before = {f"prev_{name}": F.lag(c).over(w) for name, c in (("timestamp", "timestamp"), ("lat", "lat"), ("lon", "lon"), ("status", "current_status"))}
-    return pings.withColumns(before).withColumn(GAP, seconds_between(F.col("prev_timestamp"), F.col("timestamp"))).na.drop(subset=[GAP])
+BEFORE = {"timestamp": "prev_timestamp", "lat": "prev_lat", "lon": "prev_lon", "current_status": "prev_status"}
+
+
+def day_ends(pings: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """(vehicle_id, _day, _before): for each day with pings, the vehicle's last ping of its days before.
+
+    The last ping of a day is found with rows combined before the shuffle. Raw pings give the same as deduplicated ones,
+    if the tiebreak is the same.
+    """
+    last = F.max_by(F.struct(*BEFORE), F.struct("timestamp", *order_of_rows(pings, tiebreak)))
+    ends = with_day(pings).filter("_day IS NOT NULL").groupBy("vehicle_id", "_day").agg(last.alias("_last"))
+    w = Window.partitionBy("vehicle_id").orderBy("_day")
+    return ends.select("vehicle_id", "_day", F.lag("_last").over(w).alias("_before")).filter("_before IS NOT NULL")
+
+
+def gaps(pings: DataFrame, ends: DataFrame | None = None) -> DataFrame:
+    """Each ping with its vehicle's one before, and the seconds between; first pings go.
+
+    Windows are by vehicle and day; a day's first ping gets its ping before from `ends` (see day_ends), which are few
+    rows. They are taken from the pings themselves if not given.
+    """
+    ends = day_ends(pings) if ends is None else ends
+    ends = ends.withColumnsRenamed({"vehicle_id": "_vehicle"}).withColumnRenamed("_day", "_of")
+    w = Window.partitionBy("vehicle_id", "_day").orderBy("timestamp")
+    rows = with_day(pings)
+    rows = rows.withColumns({name: F.lag(c).over(w) for c, name in BEFORE.items()} | {"_n": F.row_number().over(w)})
+    rows = rows.join(ends, (F.col("vehicle_id") == F.col("_vehicle")) & (F.col("_day") == F.col("_of")), "left")
+    first = F.col("_n") == 1
+    rows = rows.withColumns({name: F.when(first, F.col("_before")[c]).otherwise(F.col(name)) for c, name in BEFORE.items()})
+    return rows.withColumn(GAP, seconds_between(F.col("prev_timestamp"), F.col("timestamp"))).na.drop(subset=[GAP]).drop("_day", "_n", "_vehicle", "_of", "_before")
 
 
 def with_dwell(gap_rows: DataFrame, meters: float = DWELL_METERS) -> DataFrame:
@@ -64,8 +104,8 @@ def dwell_share(dwell_rows: DataFrame) -> DataFrame:
 
 def threshold(gap_rows: DataFrame, q: float = 0.99, poll_seconds: float = POLL_SECONDS) -> DataFrame:
     """One row: the quantile of the gaps, and that plus one poll, the silent-vehicle threshold."""
-    found = F.percentile(GAP, F.lit(q))
-    return gap_rows.agg(F.round(found, 6).alias("gap_quantile"), F.round(found + poll_seconds, 6).alias("threshold_seconds"))
+    found = F.col("_q")[0]
+    return stats.quantiles_by_rank(gap_rows, GAP, [q]).select(F.round(found, 6).alias("gap_quantile"), F.round(found + poll_seconds, 6).alias("threshold_seconds"))
 
 
 def large_gaps(gap_rows: DataFrame, qs: Sequence[float], bucket: str) -> DataFrame:
@@ -73,8 +113,8 @@ def large_gaps(gap_rows: DataFrame, qs: Sequence[float], bucket: str) -> DataFra
 
     The cutoffs are one row for each quantile, joined by broadcast as there are len(qs) of them.
     """
-    cuts = gap_rows.agg(F.percentile(GAP, F.array(*map(F.lit, qs))).alias("c"))
-    pairs = F.arrays_zip(F.array(*map(F.lit, qs)).alias("q"), F.col("c").alias("c"))
+    cuts = stats.quantiles_by_rank(gap_rows, GAP, qs)
+    pairs = F.arrays_zip(F.array(*map(F.lit, qs)).alias("q"), F.col("_q").alias("c"))
     cuts = cuts.select(F.filter(pairs, lambda x: x["c"].isNotNull()).alias("cuts"))
     rows = gap_rows.select("vehicle_id", "prev_timestamp", GAP).join(F.broadcast(cuts), F.lit(True))
     over = F.filter("cuts", lambda x: F.col(GAP) >= x["c"])

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramline.checkpoints import checkpointed, new_folder
 from tramline.functions.times import schedule_offset
-from tramline.operators import deviation, extensions, quality, stats, stops, validate
+from tramline.operators import bottlenecks, bunching, deviation, extensions, predictions, quality, stats, stops, validate
 from tramline.plans import tables as t
-from tramline.sources import messages
-from tramline.sources.polling import wait_seconds
+from tramline.sources import messages, store
 from tramline.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,8 @@ def deduped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gap_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.gaps(deduped(spark, sf))
+    rows = t.pings(spark, sf)
+    return quality.gaps(quality.latest(rows, ["event_id"], days=True), quality.day_ends(rows, ["event_id"]))
 
 
 def dwell_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,8 +211,8 @@ def p_cluster_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(SWEPT, *MOVES, SWEEP)
 def u_sweep_union(spark: SparkSession, sf: str) -> DataFrame:
-    """The sweep as a union of one plan for each quantile."""
-    rows = moves(spark, sf)
+    """The sweep as a union of one plan for each quantile, over gaps that are written once."""
+    rows = checkpointed(moves(spark, sf).select("vehicle_id", "prev_timestamp", GAP))
     out = None
     for q in quality.SWEEP:
         one = quality.cluster_sweep(rows, [q], BUCKET)
@@ -399,21 +400,14 @@ def o_topk_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return rows.orderBy(F.desc_nulls_last(GAP), F.asc_nulls_last("vehicle_id"), F.asc_nulls_last("timestamp")).limit(20)
 
 
-@query("SELECT CAST(f AS BIGINT) AS failures, CAST(CASE WHEN f < 5 THEN 15 ELSE least(15 * pow(2, f - 5), 300) END AS BIGINT) AS wait_seconds FROM range(0, 21) AS r(f)")
-def f_backoff_curve(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame([(n, wait_seconds(n)) for n in range(21)], "failures long, wait_seconds long")
-
-
 # streaming operators over stored rows
 
 
-@query()
+@query('SELECT vehicle_id, "timestamp", ingested_at, event_id, current_status FROM deduped', *BASE)
 def r_watermark_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """The streaming dedup, which over stored rows keeps any one ping of each key."""
-    return t.pings(spark, sf).dropDuplicates(["vehicle_id", "timestamp"]).select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"))
-
-
-ORACLES["r_watermark_dedup"] = t.sql('SELECT DISTINCT vehicle_id, "timestamp" FROM pings', t.PINGS)
+    """The streaming dedup over stored rows."""
+    rows = live.deduplicated(t.pings(spark, sf), ["event_id"])
+    return rows.select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"), F.col("ingested_at").cast(NTZ).alias("ingested_at"), "event_id", "current_status")
 
 
 @query('SELECT vehicle_id, max("timestamp") AS last_seen FROM pings GROUP BY vehicle_id HAVING epoch((SELECT max("timestamp") FROM pings)) - epoch(max("timestamp")) > 77', t.PINGS)
@@ -423,8 +417,8 @@ def r_silent_vehicles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT date_trunc('hour', prev_timestamp) AS minute, CAST(count(DISTINCT vehicle_id) AS BIGINT) AS n_vehicles FROM gaps WHERE g >= 77 GROUP BY 1", *GAPS)
 def r_tumbling_outage(spark: SparkSession, sf: str) -> DataFrame:
-    rows = gap_rows(spark, sf).filter(F.col(GAP) >= live.SILENT_SECONDS).groupBy(F.window("prev_timestamp", "1 hour"))
-    return rows.agg(F.count_distinct("vehicle_id").alias("n_vehicles")).select(F.col("window.start").cast(NTZ).alias("minute"), "n_vehicles")
+    """The first operator of the streaming outage detection over stored rows, by hour."""
+    return live.distinct_vehicles(gap_rows(spark, sf), 60).select(F.col("minute").cast(NTZ).alias("minute"), "n_vehicles")
 
 
 # extensions
@@ -480,21 +474,110 @@ def n_terminal_dwell(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast(NTZ) for c in ("began", "ended")})
 
 
-ARRIVALS = """stops_made AS (SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_linenumber AS VARCHAR) AS stop_id, epoch(CAST(l_shipdate AS TIMESTAMP)) AS actual, epoch(CAST(l_shipdate AS TIMESTAMP)) - 60 * (l_partkey % 30) AS made, epoch(CAST(l_shipdate AS TIMESTAMP)) + l_suppkey % 600 - 300 AS predicted FROM lineitem),
-joined AS (SELECT p.made, p.predicted, a.actual FROM stops_made p JOIN stops_made a ON p.trip_id = a.trip_id AND p.stop_id = a.stop_id)"""
+SCHEDULE = "schedule AS (SELECT trip_id, stop_sequence, coalesce(min(arrival_time), min(departure_time)) AS at_time FROM stop_times GROUP BY ALL)"
+OFFSET = "CAST(split_part(at_time, ':', 1) AS BIGINT) * 3600 + CAST(split_part(at_time, ':', 2) AS BIGINT) * 60 + CAST(split_part(at_time, ':', 3) AS BIGINT)"
 
 
-@query(
-    """SELECT CAST(floor((actual - made) / 60) AS BIGINT) AS minutes_ahead, CAST(count(*) AS BIGINT) AS n, round(avg(actual - predicted), 6) AS mean_error, round(avg(abs(actual - predicted)), 6) AS mean_abs_error
-  FROM joined GROUP BY 1""",
-    ARRIVALS,
-)
+def nearest_sql(table: str, at: str, out: str) -> str:
+    """The rows of `table` with `out`: epoch seconds of the scheduled instant nearest the UTC instant `at`, for an at_time that may be NULL."""
+    same = f"CAST(epoch(date_trunc('day', {at})) AS BIGINT) + {OFFSET}"
+    gap = f"epoch({at}) - same"
+    return f"""(SELECT * EXCLUDE (same), CASE WHEN abs({gap}) <= abs({gap} + 86400) AND abs({gap}) <= abs({gap} - 86400) THEN same
+    WHEN abs({gap} + 86400) <= abs({gap} - 86400) THEN same - 86400 ELSE same + 86400 END AS {out} FROM (SELECT *, {same} AS same FROM {table}))"""
+
+
+UPDATES = f"""updates AS (SELECT CAST(user_id * 100 + day(ts) AS VARCHAR) AS trip_id, date_trunc('second', ts) AS made_at, 1 + k % 7 AS stop_sequence, k * 37 % 900 - 300 AS delay,
+  CASE event_id % 7 WHEN 0 THEN 'NO_DATA' WHEN 1 THEN 'SKIPPED' ELSE 'SCHEDULED' END AS relationship, CASE WHEN event_id % 2 = 0 THEN 60 END AS trip_delay
+  FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events) WHERE event_id % 3 = 0),
+own AS (SELECT * FROM updates QUALIFY row_number() OVER (PARTITION BY trip_id, made_at, stop_sequence ORDER BY delay DESC, relationship DESC) = 1),
+stops_told AS (SELECT m.trip_id, m.made_at, m.trip_delay, s.stop_sequence, s.at_time, o.relationship, CASE WHEN o.relationship = 'NO_DATA' THEN 1000000 ELSE o.delay END AS told
+  FROM (SELECT trip_id, made_at, max(trip_delay) AS trip_delay FROM updates GROUP BY ALL) m JOIN schedule s USING (trip_id) LEFT JOIN own o ON m.trip_id = o.trip_id AND m.made_at = o.made_at AND s.stop_sequence = o.stop_sequence),
+carried AS (SELECT *, nullif(coalesce(last_value(told IGNORE NULLS) OVER (PARTITION BY trip_id, made_at ORDER BY stop_sequence ROWS UNBOUNDED PRECEDING), trip_delay), 1000000) AS d FROM {nearest_sql("stops_told", "made_at", "scheduled")}),
+predicted AS (SELECT trip_id, stop_sequence, made_at, scheduled + d AS predicted FROM carried WHERE coalesce(relationship, '') <> 'SKIPPED' AND scheduled + d IS NOT NULL),
+stopped AS (SELECT trip_id, current_stop_sequence AS stop_sequence, min(date_trunc('second', ingested_at)) AS actual FROM deduped WHERE trip_id IS NOT NULL AND current_status = 'STOPPED_AT' GROUP BY trip_id, current_stop_sequence, CAST(ingested_at AS DATE)),
+judged AS (SELECT s.trip_id, s.stop_sequence, actual, made_at, predicted, CAST(epoch(actual) - predicted AS BIGINT) AS error_seconds, CAST(floor((epoch(actual) - epoch(made_at)) / 60) AS BIGINT) AS minutes_ahead
+  FROM stopped s ASOF JOIN predicted p ON s.trip_id = p.trip_id AND s.stop_sequence = p.stop_sequence AND s.actual >= p.made_at WHERE epoch(actual) - epoch(made_at) <= 86400)"""
+JUDGED = (*BASE, t.STOP_TIMES, SCHEDULE, UPDATES)
+
+
+def judged_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events are sparse, so predictions count for a day."""
+    predicted = predictions.predicted_arrivals(t.stop_updates(spark, sf), t.schedule(spark, sf), "UTC")
+    seen = deduped(spark, sf).withColumn("actual", F.date_trunc("SECOND", "ingested_at"))
+    return predictions.judged(predicted, predictions.arrivals(seen, "UTC", "actual"), 86_400)
+
+
+@query("SELECT trip_id, stop_sequence, make_timestamp(made_at_us) AS made_at, predicted FROM (SELECT trip_id, stop_sequence, epoch_us(made_at) AS made_at_us, predicted FROM predicted)", *JUDGED)
+def n_predicted_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """What each trip update says about all stops of its trip; predicted is in epoch seconds."""
+    rows = predictions.predicted_arrivals(t.stop_updates(spark, sf), t.schedule(spark, sf), "UTC")
+    return rows.select("trip_id", "stop_sequence", F.col("made_at").cast(NTZ).alias("made_at"), F.unix_seconds("predicted_time").alias("predicted"))
+
+
+@query("SELECT trip_id, stop_sequence, actual AS actual_time, made_at, error_seconds FROM judged", *JUDGED)
+def n_prediction_judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Each arrival with the last prediction before it."""
+    return judged_rows(spark, sf).select("trip_id", "stop_sequence", F.col("actual_time").cast(NTZ).alias("actual_time"), F.col("made_at").cast(NTZ).alias("made_at"), "error_seconds")
+
+
+@query("SELECT minutes_ahead, CAST(count(*) AS BIGINT) AS n, round(avg(error_seconds), 6) AS mean_error, round(avg(abs(error_seconds)), 6) AS mean_abs_error FROM judged GROUP BY minutes_ahead", *JUDGED)
 def n_prediction_error(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as stops: shipped when arrived, up to half an hour after the prediction was made."""
-    rows = t.read(spark, sf, "lineitem")
-    key = ("CAST(l_orderkey AS STRING) AS trip_id", "CAST(l_linenumber AS STRING) AS stop_id")
-    predictions = rows.selectExpr(*key, "timestamp_seconds(unix_seconds(CAST(l_shipdate AS TIMESTAMP)) - 60 * (l_partkey % 30)) AS predicted_on", "timestamp_seconds(unix_seconds(CAST(l_shipdate AS TIMESTAMP)) + l_suppkey % 600 - 300) AS predicted_time")
-    return extensions.prediction_error(predictions, rows.selectExpr(*key, "CAST(l_shipdate AS TIMESTAMP) AS actual_time"))
+    return predictions.prediction_error(judged_rows(spark, sf))
+
+
+BUNCHED = f"""trips AS (SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, 'R' || (o_custkey % 10) AS route_id, o_orderkey % 2 AS direction_id FROM orders),
+seen AS (SELECT *, date_trunc('second', ingested_at) AS passed_at FROM deduped),
+passes AS (SELECT trip_id, vehicle_id, stop_id, current_stop_sequence AS stop_sequence, CAST(passed_at AS DATE) AS day, passed_at, lat, lon FROM seen WHERE trip_id IS NOT NULL AND stop_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY trip_id, vehicle_id, stop_id, current_stop_sequence, CAST(passed_at AS DATE) ORDER BY passed_at, lat, lon) = 1),
+timed AS (SELECT p.*, t.route_id, t.direction_id, s.at_time FROM passes p JOIN trips t USING (trip_id) LEFT JOIN schedule s ON p.trip_id = s.trip_id AND p.stop_sequence = s.stop_sequence),
+led AS (SELECT *, lag(vehicle_id) OVER w AS leader, epoch(passed_at) - epoch(lag(passed_at) OVER w) AS headway, scheduled - lag(scheduled) OVER w AS planned FROM {nearest_sql("timed", "passed_at", "scheduled")}
+  WINDOW w AS (PARTITION BY route_id, direction_id, stop_id, day ORDER BY passed_at, vehicle_id, trip_id, stop_sequence)),
+places AS (SELECT vehicle_id, passed_at AS seen_at, lat AS lat0, lon AS lon0 FROM seen QUALIFY row_number() OVER (PARTITION BY vehicle_id, passed_at ORDER BY lat DESC, lon DESC) = 1),
+near AS (SELECT l.*, sqrt(pow((lat - lat0) * 111320, 2) + pow((lon - lon0) * 111320 * cos(radians((lat + lat0) / 2)), 2)) AS meters
+  FROM (SELECT * FROM led WHERE leader <> vehicle_id AND planned > 0 AND headway / planned < 0.5) l ASOF JOIN places p ON l.leader = p.vehicle_id AND l.passed_at >= p.seen_at WHERE epoch(passed_at) - epoch(seen_at) <= 86400)"""
+
+
+@query(
+    """SELECT route_id, CAST(direction_id AS INT) AS direction_id, stop_id, leader, vehicle_id AS follower, passed_at, CAST(headway AS BIGINT) AS headway_seconds, CAST(planned AS BIGINT) AS scheduled_headway_seconds,
+  round(headway / planned, 6) AS headway_ratio, round(meters, 3) AS meters FROM near WHERE meters <= 60""",
+    *BASE, t.STOP_TIMES, SCHEDULE, BUNCHED,
+)
+def n_bunching_headway(spark: SparkSession, sf: str) -> DataFrame:
+    """Consecutive vehicles of a route and direction within 60 m, at less than half the scheduled headway. Events are sparse, so positions count for a day."""
+    rows = deduped(spark, sf).withColumn("actual", F.date_trunc("SECOND", "ingested_at"))
+    out = bunching.bunched(rows, t.trips(spark, sf), t.schedule(spark, sf), 60, 0.5, "UTC", "actual", 86_400)
+    return out.withColumns({"passed_at": F.col("passed_at").cast(NTZ), "headway_ratio": F.round("headway_ratio", 6), "meters": F.round("meters", 3)})
+
+
+CLUSTERS = """cells AS (SELECT CAST(floor(lat / 0.00005) AS BIGINT) AS cell_lat, CAST(floor(lon / 0.00005) AS BIGINT) AS cell_lon, count(*) AS n, count(*) FILTER (d / g < 0.0015) AS n_slow, round(avg(d / g), 9) AS mean_mps FROM moves WHERE g > 0 GROUP BY 1, 2),
+dense AS (SELECT * FROM cells WHERE n_slow >= 3 AND n_slow >= 0.5 * n),
+reached(a, o, a2, o2) AS (SELECT cell_lat, cell_lon, cell_lat, cell_lon FROM dense UNION SELECT r.a, r.o, d.cell_lat, d.cell_lon FROM reached r JOIN dense d ON d.cell_lat - r.a2 BETWEEN -1 AND 1 AND d.cell_lon - r.o2 BETWEEN -1 AND 1),
+clusters AS (SELECT a AS cell_lat, o AS cell_lon, min(a2) AS cluster_lat, arg_min(o2, a2 * 2147483648 + o2) AS cluster_lon FROM reached GROUP BY ALL)"""
+
+
+def slow_dense(spark: SparkSession, sf: str) -> DataFrame:
+    return extensions.slow_cells(dwell_rows(spark, sf), cell_degrees=0.00005, slow_mps=0.0015)
+
+
+@query("SELECT cell_lat, cell_lon, cluster_lat, cluster_lon FROM clusters", *MOVES, CLUSTERS)
+def n_slow_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Each dense slow cell with its cluster."""
+    return bottlenecks.clusters(bottlenecks.dense_cells(slow_dense(spark, sf))).select("cell_lat", "cell_lon", "cluster_lat", "cluster_lon")
+
+
+@query("SELECT cluster_lat, cluster_lon, CAST(count(*) AS BIGINT) AS n_cells, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n_slow) AS BIGINT) AS n_slow, round(sum(mean_mps * n) / sum(n), 6) AS mean_mps FROM clusters JOIN dense USING (cell_lat, cell_lon) GROUP BY ALL", *MOVES, CLUSTERS)
+def n_bottlenecks(spark: SparkSession, sf: str) -> DataFrame:
+    return bottlenecks.bottlenecks(slow_dense(spark, sf))
+
+
+@query('SELECT vehicle_id, "timestamp", lat, lon FROM deduped WHERE lat BETWEEN 42.00001 AND 42.00006 AND lon BETWEEN -71.0008 AND -71.0002', *BASE)
+def k_box_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Positions in a box, from a store that two batches were written to, one of them twice."""
+    rows, path = deduped(spark, sf), new_folder(spark, "store")
+    for batch_id, half in ((0, "event_id % 2 = 0"), (1, "event_id % 2 <> 0"), (0, "event_id % 2 = 0")):
+        store.save(rows.filter(half), path, batch_id)
+    out = store.in_box(store.stored(spark, path), 42.00001, -71.0008, 42.00006, -71.0002)
+    return out.select("vehicle_id", F.col("timestamp").cast(NTZ).alias("timestamp"), "lat", "lon")
 
 
 @query("SELECT route_id, date_trunc('week', actual) AS week, CAST(count(*) AS BIGINT) AS n, round(avg(dev), 6) AS mean_seconds, CAST(count(*) FILTER (abs(dev) > 300) AS BIGINT) AS n_off FROM deviations GROUP BY 1, 2", *DEVIATIONS)

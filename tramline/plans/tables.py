@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def utc(spark: SparkSession) -> SparkSession:
@@ -43,6 +44,30 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stop times with each (trip_id, stop_sequence) once."""
+    return stop_times(spark, sf_dir).groupBy("trip_id", "stop_sequence").agg(F.min("arrival_time").alias("arrival_time"), F.min("departure_time").alias("departure_time"))
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as trips, of ten routes and two directions."""
+    return read(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS trip_id", "concat('R', o_custkey % 10) AS route_id", "CAST(o_orderkey % 2 AS INT) AS direction_id").dropDuplicates(["trip_id"])
+
+
+def stop_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some events as the agency's trip updates, each for the delay at one stop; a few tell that there is no data."""
+    k = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+    return read(spark, sf_dir, "events").filter("event_id % 3 = 0").selectExpr(
+        "CAST(user_id * 100 + day(ts) AS STRING) AS trip_id",
+        "CAST(date_trunc('SECOND', ts) AS TIMESTAMP) AS made_at",
+        f"1 + {k} % 7 AS stop_sequence",
+        f"{k} * 37 % 900 - 300 AS delay",
+        "CAST(NULL AS TIMESTAMP) AS predicted_time",
+        "CASE event_id % 7 WHEN 0 THEN 'NO_DATA' WHEN 1 THEN 'SKIPPED' ELSE 'SCHEDULED' END AS relationship",
+        "CASE WHEN event_id % 2 = 0 THEN 60 END AS trip_delay",
+    )
+
+
 #: The same in DuckDB, each a table expression that may use those before it.
 PINGS = """pings AS (SELECT CAST(user_id AS VARCHAR) AS vehicle_id,
   CASE WHEN event_id % 11 <> 0 THEN CAST(user_id * 100 + day(ts) AS VARCHAR) END AS trip_id, 'R' || (user_id % 10) AS route_id,
@@ -70,4 +95,4 @@ deviations AS (SELECT *, a - sched AS dev, make_timestamp(sched * 1000000) AS sc
 
 
 def sql(select: str, *tables: str) -> str:
-    return f"WITH {', '.join(tables)}\n{select}"
+    return f"WITH RECURSIVE {', '.join(tables)}\n{select}"

@@ -39,20 +39,42 @@ VEHICLE = {
     4: Field("current_status", STATUS),
     5: Field("timestamp", "uint_text"),
 }
+STOP_RELATIONSHIP = {0: "SCHEDULED", 1: "SKIPPED", 2: "NO_DATA", 3: "UNSCHEDULED"}
+STOP_EVENT = {1: Field("delay", "int"), 2: Field("time", "int_text"), 3: Field("uncertainty", "int")}
+STOP_UPDATE = {
+    1: Field("stop_sequence", "uint"),
+    4: Field("stop_id", "string"),
+    2: Field("arrival", {"message": STOP_EVENT}),
+    3: Field("departure", {"message": STOP_EVENT}),
+    5: Field("schedule_relationship", STOP_RELATIONSHIP),
+}
+TRIP_UPDATE = {
+    1: Field("trip", {"message": TRIP}, True),
+    3: Field("vehicle", {"message": VEHICLE_NAME}),
+    2: Field("stop_time_update", {"message": STOP_UPDATE}, repeated=True),
+    4: Field("timestamp", "uint_text"),
+    5: Field("delay", "int"),
+}
 HEADER = {1: Field("gtfs_realtime_version", "string", True), 3: Field("timestamp", "uint_text")}
-ENTITY_TAGS = {1: Field("id", "string", True), 4: Field("vehicle", {"message": VEHICLE})}
+ENTITY_TAGS = {1: Field("id", "string", True), 3: Field("trip_update", {"message": TRIP_UPDATE}), 4: Field("vehicle", {"message": VEHICLE})}
 FEED = {1: Field("header", {"message": HEADER}, True), 2: Field("entity", {"message": ENTITY_TAGS}, repeated=True)}
 VARINT, FIXED64, BYTES, FIXED32 = 0, 1, 2, 5
+FLOAT = packing.Struct("<f")
 
 
 class FeedError(ValueError):
     """A snapshot that isn't a feed message."""
 
 
-def varint(data: bytes, at: int) -> tuple[int, int]:
+#: Whole numbers of the wire format: their bits, and whether they are signed.
+WHOLE = {"uint": (32, False), "uint_text": (64, False), "int": (32, True), "int_text": (64, True)}
+
+
+def varint(data: bytes, at: int, end: int) -> tuple[int, int]:
+    """The number at a place, and the place after it. Nearly all have one byte, which callers look at themselves."""
     value = shift = 0
     while True:
-        if at >= len(data) or shift > 63:
+        if at >= end or shift > 63:
             raise FeedError("truncated or oversized varint")
         byte = data[at]
         value |= (byte & 0x7F) << shift
@@ -61,57 +83,72 @@ def varint(data: bytes, at: int) -> tuple[int, int]:
             return value & (1 << 64) - 1, at
 
 
-def items(data: bytes) -> Iterator[tuple[int, int, int | bytes]]:
-    """(tag, wire type, value) of a message."""
-    at = 0
-    while at < len(data):
-        key, at = varint(data, at)
+def whole(value: int, kind: str) -> int | str:
+    bits, signed = WHOLE[kind]
+    value &= (1 << bits) - 1
+    if signed and value >> bits - 1:
+        value -= 1 << bits
+    return str(value) if kind.endswith("_text") else value
+
+
+def wire_of(field: Field) -> int:
+    if isinstance(field.kind, dict):
+        return BYTES if "message" in field.kind else VARINT
+    return {"float": FIXED32, "string": BYTES}.get(field.kind, VARINT)
+
+
+def message(data: bytes, fields: dict[int, Field], at: int = 0, end: int | None = None) -> dict:
+    """The fields of the message in data[at:end]. Nothing is copied but strings; what isn't in the table is stepped over."""
+    end = len(data) if end is None else end
+    out: dict = {f.name: [] for f in fields.values() if f.repeated}
+    while at < end:
+        key = data[at]
+        if key < 0x80:
+            at += 1
+        else:
+            key, at = varint(data, at, end)
         tag, wire = key >> 3, key & 7
         if tag == 0:
             raise FeedError("tag 0")
+        field = fields.get(tag)
+        if field is not None and wire != wire_of(field):
+            raise FeedError(f"{field.name}: wire type {wire}")
         if wire == VARINT:
-            value, at = varint(data, at)
-        elif wire in (FIXED64, FIXED32, BYTES):
-            size = 8 if wire == FIXED64 else 4
-            if wire == BYTES:
-                size, at = varint(data, at)
-            value, at = data[at : at + size], at + size
-            if at > len(data):
-                raise FeedError("truncated field")
+            if at < end and data[at] < 0x80:
+                value, at = data[at], at + 1
+            else:
+                value, at = varint(data, at, end)
+            after = at
+        elif wire == BYTES:
+            if at < end and data[at] < 0x80:
+                size, at = data[at], at + 1
+            else:
+                size, at = varint(data, at, end)
+            after = at + size
+        elif wire in (FIXED64, FIXED32):
+            after = at + (8 if wire == FIXED64 else 4)
         else:
             raise FeedError(f"wire type {wire}")
-        yield tag, wire, value
-
-
-def message(data: bytes, fields: dict[int, Field]) -> dict:
-    out: dict = {f.name: [] for f in fields.values() if f.repeated}
-    for tag, wire, value in items(data):
-        if not (field := fields.get(tag)):
-            continue
-        expected = {"float": FIXED32, "string": BYTES}.get(field.kind, VARINT) if isinstance(field.kind, str) else BYTES if "message" in field.kind else VARINT
-        if wire != expected:
-            raise FeedError(f"{field.name}: wire type {wire}")
-        if field.kind == "float":
-            value = packing.unpack("<f", value)[0]
-        elif field.kind == "string":
-            try:
-                value = value.decode()
-            except UnicodeDecodeError as e:
-                raise FeedError(f"{field.name}: not UTF-8") from e
-        elif field.kind == "uint":
-            value &= 0xFFFFFFFF
-        elif field.kind == "uint_text":
-            value = str(value)
-        elif "message" in field.kind:
-            value = message(value, field.kind["message"])
-        else:
-            value = field.kind.get(value)
-            if value is None:
-                continue  # an enum's unknown value counts as absent
-        if field.repeated:
-            out[field.name].append(value)
-        else:
-            out[field.name] = value
+        if after > end:
+            raise FeedError("truncated field")
+        if field is not None:
+            kind = field.kind
+            if isinstance(kind, dict):
+                value = message(data, kind["message"], at, after) if wire == BYTES else kind.get(value)
+            elif kind == "string":
+                try:
+                    value = data[at:after].decode()
+                except UnicodeDecodeError as e:
+                    raise FeedError(f"{field.name}: not UTF-8") from e
+            elif kind == "float":
+                value = FLOAT.unpack_from(data, at)[0]
+            else:
+                value = whole(value, kind)
+            if field.repeated:
+                out[field.name].append(value)
+            elif value is not None:  # an enum's unknown value counts as absent
+                out[field.name] = value
+        at = after
     if missing := [f.name for f in fields.values() if f.required and f.name not in out]:
         raise FeedError(f"missing {', '.join(missing)}")
     return out
@@ -140,11 +177,11 @@ def encode(value: dict, fields: dict[int, Field] = FEED) -> bytes:
         found = value.get(field.name)
         for x in found if field.repeated else [] if found is None else [found]:
             if field.kind == "float":
-                out += number(tag << 3 | FIXED32) + packing.pack("<f", x)
+                out += number(tag << 3 | FIXED32) + FLOAT.pack(x)
             elif field.kind == "string":
                 out += framed(tag, x.encode())
-            elif field.kind in ("uint", "uint_text"):
-                out += number(tag << 3 | VARINT) + number(int(x))
+            elif isinstance(field.kind, str):
+                out += number(tag << 3 | VARINT) + number(int(x) & (1 << 64) - 1)
             elif "message" in field.kind:
                 out += framed(tag, encode(x, field.kind["message"]))
             else:

@@ -112,11 +112,14 @@ class Supervisor:
             if self.failures >= ALARM:
                 self.log.critical("%d polls failed in a row", self.failures)
         else:
-            if self.failures == ALARM:
-                self.log.warning("recovered after %d failures", self.failures)
-            self.failures = 0
+            self.succeeded()
         return wait_seconds(self.failures)
 
+    def succeeded(self) -> None:
+        if self.failures == ALARM:
+            self.log.warning("recovered after %d failures", self.failures)
+        self.failures = 0
+
     def run(self, turns: int | None = None, sleep: Callable[[float], None] = time.sleep) -> None:
         while turns is None or turns > 0:
             wait = self.step()

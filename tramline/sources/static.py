@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.schemas import STOP_TIMES, STOPS
+from tramline.schemas import STOP_TIMES, STOPS, TRIPS
 
 
 def csv_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -26,6 +26,10 @@ def stop_times(spark: SparkSession, path: str) -> DataFrame:
     return csv_table(spark, path, STOP_TIMES).withColumn("stop_sequence", F.col("stop_sequence").try_cast("int"))
 
 
+def trips(spark: SparkSession, path: str) -> DataFrame:
+    return csv_table(spark, path, TRIPS).withColumn("direction_id", F.col("direction_id").try_cast("int"))
+
+
 def version(rows: DataFrame) -> DataFrame:
     """One row with the number of rows and an order-free checksum: a changed table has another."""
     return rows.agg(F.count("*").alias("n_rows"), F.bit_xor(F.xxhash64(*rows.columns)).alias("checksum"))

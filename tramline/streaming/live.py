@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tramline.operators.quality import OUTAGE_VEHICLES, order_of_rows
+
+KEY = ("vehicle_id", "timestamp")
 #: Above the latest report that the feed has shown (2,163 s).
 LATENESS = "40 minutes"
 SILENT_SECONDS = 77
@@ -20,16 +23,76 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def deduplicated(pings: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """The first ping of each (vehicle_id, timestamp) within the watermark. The batch form keeps the latest instead."""
-    return pings.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["vehicle_id", "timestamp"])
+def deduplicated(pings: DataFrame, tiebreak: Sequence[str] = (), lateness: str = LATENESS) -> DataFrame:
+    """The best ping of each (vehicle_id, timestamp), as quality.latest picks it: the latest ingested.
+
+    The state of a key is its best row so far. It is given out, once, when the watermark passes its timestamp; from then
+    on its duplicates are late and refused. A restart from the checkpoint goes on with the same state.
+    """
+    rows = pings.withWatermark("timestamp", lateness)
+    best = F.max_by(F.struct(*pings.columns), F.struct(*order_of_rows(pings, tiebreak)))
+    found = rows.groupBy(*KEY).agg(best.alias("_row"))
+    return found.select(*[F.col(c) if c in KEY else F.col(f"_row.{c}").alias(c) for c in pings.columns])
+
+
+def distinct_vehicles(gap_rows: DataFrame, minutes: int = 1, lateness: str = LATENESS, least_seconds: float = SILENT_SECONDS) -> DataFrame:
+    """(minute, n_vehicles): how many vehicles have a large gap that began in each window; exact, as each is counted once.
+
+    Two stateful operators in a row: one lets a vehicle pass once for each window, the other counts them.
+    """
+    # the condition names the event time, so Spark doesn't move it before the watermark, which short gaps advance too
+    is_large = F.when(F.col("prev_timestamp").isNotNull(), F.col("real_update_gap_seconds") >= least_seconds)
+    large = gap_rows.withWatermark("prev_timestamp", lateness).filter(is_large)
+    seen = large.select("vehicle_id", F.window("prev_timestamp", f"{minutes} minutes").alias("window")).dropDuplicates(["window", "vehicle_id"])
+    by = seen.groupBy("window").agg(F.count("*").alias("n_vehicles"))
+    return by.select(F.col("window.start").alias("minute"), F.window_time("window").alias("ends"), "n_vehicles")
+
+
+class Runs(StatefulProcessor):
+    """Joins suspect windows that follow each other without a gap, and gives a run out once the watermark tells that it ended."""
+
+    def __init__(self, millis: int):
+        self.millis = millis
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.minutes = handle.getMapState("minutes", "start long", "vehicles long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        for batch in rows:
+            for at, n in zip(batch["minute"], batch["n_vehicles"], strict=True):
+                start = int(at.value // 1_000_000)
+                self.minutes.updateValue((start,), (int(n),))
+                # by the end of the window after this one, it is known whether that is suspect too
+                self.handle.registerTimer(start + 2 * self.millis)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        last = expiredTimerInfo.getExpiryTimeInMs() - 2 * self.millis
+        if not self.minutes.containsKey((last,)) or self.minutes.containsKey((last + self.millis,)):
+            return  # given out already, or the run goes on
+        run, at = [], last
+        while self.minutes.containsKey((at,)):
+            run.append(self.minutes.getValue((at,))[0])
+            self.minutes.removeKey((at,))
+            at -= self.millis
+        stamps = [pd.Timestamp(x, unit="ms") for x in (at + self.millis, last)]
+        yield pd.DataFrame({"window_start": [stamps[0]], "window_end": [stamps[1]], "n_minutes": [len(run)], "most_vehicles": [max(run)]})
+
+    def close(self) -> None:
+        pass
+
 
+def outages(gap_rows: DataFrame, vehicles: int = OUTAGE_VEHICLES, minutes: int = 1, lateness: str = LATENESS, least_seconds: float = SILENT_SECONDS) -> DataFrame:
+    """(window_start, window_end, n_minutes, most_vehicles) of each run of suspect windows, as soon as it is known to have ended.
 
-def outage_counts(gap_rows: DataFrame, minutes: int = 1, lateness: str = LATENESS, least_seconds: float = SILENT_SECONDS) -> DataFrame:
-    """Vehicles with a large gap that began in each window; approximate, as streams don't count distinct rows exactly."""
-    rows = gap_rows.withWatermark("prev_timestamp", lateness).filter(F.col("real_update_gap_seconds") >= least_seconds)
-    by = rows.groupBy(F.window("prev_timestamp", f"{minutes} minutes")).agg(F.approx_count_distinct("vehicle_id").alias("n_vehicles"))
-    return by.select(F.col("window.start").alias("minute"), "n_vehicles")
+    Suspect windows are those in which so many distinct vehicles fell silent. Chained: distinct vehicles by window, then
+    runs of windows. The runs' operator has one key, but gets a row for each suspect window only. Needs use_rocksdb.
+    """
+    suspect = distinct_vehicles(gap_rows, minutes, lateness, least_seconds).filter(F.col("n_vehicles") >= vehicles)
+    runs = suspect.withColumn("feed", F.lit(1)).groupBy("feed")
+    schema = "window_start timestamp, window_end timestamp, n_minutes long, most_vehicles long"
+    return runs.transformWithStateInPandas(Runs(minutes * 60_000), schema, "Append", "EventTime")
 
 
 class Silence(StatefulProcessor):
