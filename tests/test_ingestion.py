@@ -184,3 +184,41 @@ def test_environment(monkeypatch, tmp_path):
     with pytest.raises(ValueError, match="KAFKA_BROKERS"):
         required("KAFKA_BROKERS")
     load_env(str(tmp_path / "none"))
+
+
+def test_producer(spark):
+    options = messages.producer_options("a:1,b:2")
+    assert options["kafka.bootstrap.servers"] == "a:1,b:2" and options["topic"] == "raw.vehicle-positions" and options["kafka.enable.idempotence"] == "true"
+    with pytest.raises(Exception, match="(?i)kafka"):  # its connector isn't on the class path here
+        messages.to_kafka(spark.createDataFrame([("k", "v")], "key string, value string"), "a:1")
+
+
+def test_samples_are_saved(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "vehicle_id string, n int")
+    for _ in range(2):  # the second replaces the first
+        messages.save_sample(rows, str(tmp_path / "sample"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "sample")).collect())) == [("a", 1), ("b", 2)]
+
+
+def test_trips(spark, tmp_path):
+    (tmp_path / "trips.txt").write_text("route_id,trip_id,direction_id\n39,0071,1\n39,0072,\n")
+    assert sorted(map(tuple, static.trips(spark, str(tmp_path / "trips.txt")).collect())) == [("0071", "39", 1), ("0072", "39", None)]
+
+
+def test_decoder_against_garbage():
+    good = encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": [vehicle()]})
+    assert len(decode_feed(good)) == 1
+    for cut in range(1, len(good)):  # every shortened snapshot is an error or a message without its later parts
+        try:
+            assert len(decode_feed(good[:cut])) <= 1
+        except FeedError:
+            pass
+    for bad in (b"", b"\x00", b"\xff" * 20, good + b"\x07", good[:-1] + b"\xff" * 11):
+        with pytest.raises(FeedError):
+            decode_feed(bad)
+
+
+def test_decoder_reads_long_fields():
+    long = {"header": {"gtfs_realtime_version": "2.0", "timestamp": str(2**64 - 1)}, "entity": [{"id": "é" * 300, **{k: v for k, v in vehicle().items() if k != "id"}} for _ in range(200)]}
+    found = decode_feed(encode(long))
+    assert len(found) == 200 and found[7]["id"] == "é" * 300

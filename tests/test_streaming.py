@@ -186,6 +186,8 @@ def test_capture_ends_by_time(spark, tmp_path, message_log):
 def test_capture_ends_with_the_log(spark, tmp_path, message_log):
     got = capture(source(spark, message_log, MESSAGES), str(tmp_path / "a"), seconds=600)
     assert (got.messages, got.ended_by, len(got.batches)) == (50, "end", 5)
+    # nothing was committed: another capture begins anew, and reads all
+    assert capture(source(spark, message_log, MESSAGES), str(tmp_path / "b"), seconds=600).messages == 50
 
 
 def test_capture_raises_the_sources_error(spark, tmp_path, message_log):

@@ -124,6 +124,16 @@ def s_json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("vehicle_id", "lon", "lat", F.col("timestamp").cast(NTZ).alias("timestamp"))
 
 
+NULL_STOPS = """SELECT p.route_id, s.zone, CAST(count(*) AS BIGINT) AS n, CAST(count(p.stop_id) AS BIGINT) AS with_stop FROM {pings} p LEFT JOIN {stops} s ON p.stop_id = s.stop_id
+  WHERE p.route_id IN (SELECT explode(:routes)) GROUP BY p.route_id, s.zone"""
+
+
+@query("SELECT p.route_id, s.zone, CAST(count(*) AS BIGINT) AS n, CAST(count(p.stop_id) AS BIGINT) AS with_stop FROM pings p LEFT JOIN stops s ON p.stop_id = s.stop_id WHERE p.route_id IN ('R1', 'R4', 'R9') GROUP BY p.route_id, s.zone", t.PINGS, t.STOPS)
+def s_sql_over_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text over frames in scope, with a list as a parameter."""
+    return spark.sql(NULL_STOPS, {"routes": F.array(*map(F.lit, ("R1", "R4", "R9")))}, pings=t.pings(spark, sf), stops=t.stops(spark, sf))
+
+
 # dedup and gaps
 
 

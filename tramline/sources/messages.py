@@ -26,9 +26,14 @@ def to_log(messages: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS) -
     return seen.get["n"]
 
 
+def producer_options(brokers: str, topic: str = TOPIC) -> dict[str, str]:
+    """An idempotent producer; the key's hash picks the partition, so a vehicle's messages stay in order."""
+    return {"kafka.bootstrap.servers": brokers, "topic": topic, "kafka.enable.idempotence": "true", "kafka.acks": "all"}
+
+
 def to_kafka(messages: DataFrame, brokers: str, topic: str = TOPIC) -> None:
-    """At least once; dedup downstream absorbs repeats."""
-    messages.write.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic).save()
+    """At least once, as a task may run again; dedup downstream absorbs repeats."""
+    messages.select("key", "value").write.format("kafka").options(**producer_options(brokers, topic)).save()
 
 
 def from_kafka(spark: SparkSession, brokers: str, topic: str = TOPIC, limit: int = SAMPLE_MESSAGES) -> DataFrame:
