@@ -80,6 +80,12 @@ def test_sequence_without_trip(spark):
     assert (got["n_backwards"], got["n_observations"]) == (1, 4)
 
 
+def test_shuttles_go_by_route_and_trip(spark):
+    df = spark.createDataFrame([("Shuttle-Generic-Red", "1"), ("39", "BL-7"), ("39", "7"), (None, None)], "route_id string, trip_id string")
+    assert stops.without_shuttles(df).count() == 3
+    assert [tuple(r) for r in stops.without_shuttles(df, trip_prefix="BL").collect()] == [("39", "7"), (None, None)]
+
+
 def test_deviation_fans_out_and_drops_null(spark):
     t = datetime(2026, 1, 1, 8)
     pings = spark.createDataFrame([("v", "t", "s", 1, t), ("v", "t", None, 1, t)], "vehicle_id string, trip_id string, stop_id string, current_stop_sequence int, timestamp timestamp")

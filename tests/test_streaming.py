@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramline.operators import deviation, quality
-from tramline.sources import store
+from tramline.sources import messages, store
 from tramline.sources.capture import capture, captured
-from tramline.streaming import live
+from tramline.streaming import ingest, live
 from tramline.streaming.schedule import Schedule, deviation_stream
 from tramline.streaming.supervised import CycleLog, log_to, supervised
 
@@ -74,6 +74,20 @@ def test_dedup_keeps_the_latest_and_survives_a_restart(spark, tmp_path):
     assert rows_of(spark.read.parquet(str(out))) == expected
 
 
+def test_gaps_of_a_shuffled_log_equal_the_batch(spark, tmp_path):
+    live.use_rocksdb(spark)
+    rows = shuffled_pings(200, 9)
+    log, out = tmp_path / "log", tmp_path / "out"
+    for k in range(0, 200, 70):
+        add(spark, log, rows[k : k + 70], PINGS)
+    add(spark, log, [("end", FAR, FAR, None, -1)], PINGS)
+    drained(live.deduplicated_gaps(source(spark, log, PINGS), ["n"]).writeStream.format("parquet").option("path", str(out)), tmp_path / "check")
+    df = spark.createDataFrame(rows, PINGS).withColumns({"lat": F.lit(0.0), "lon": F.lit(0.0)})
+    expected = quality.gaps(quality.latest(df, ["n"])).select("vehicle_id", "prev_timestamp", "timestamp", quality.GAP)
+    got = spark.read.parquet(str(out)).filter("vehicle_id <> 'end'")
+    assert rows_of(got) == rows_of(expected) and got.count() > 100
+
+
 GAPS = "vehicle_id string, prev_timestamp timestamp, real_update_gap_seconds long"
 
 
@@ -290,3 +304,37 @@ def test_cycles_are_logged(spark, tmp_path, message_log):
         spark.streams.removeListener(listener)
     text = path.read_text()
     assert text.count("published 9, skipped 1") == 5 and " ms" in text and "INFO" in text
+
+
+# ingestion from end to end
+
+
+def polled(url):
+    from test_ingestion import vehicle
+
+    from tramline.sources.feed import encode
+
+    good = [vehicle(vid=f"v{k}", ts=str(1_700_000_000 + k)) for k in range(5)]
+    bad = [vehicle(lat=95.0), vehicle(vid=""), {"id": "trip", "trip_update": {"trip": {"trip_id": "t"}, "stop_time_update": []}}]
+    return encode({"header": {"gtfs_realtime_version": "2.0"}, "entity": good + bad})
+
+
+def test_ingestion_job(spark, tmp_path):
+    """Polls, decodes, validates and appends to the log, from which the pings are read back."""
+    log = str(tmp_path / "log")
+    rows = ingest.feed_messages(ingest.snapshots(spark, fetcher="test_streaming:polled"))
+    query = ingest.scheduled(ingest.to_log(rows, log), str(tmp_path / "check"), 1).start()
+    try:
+        for _ in range(60):
+            if any(p.observedMetrics and p.numInputRows for p in query.recentProgress):
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    cycle = next(p.observedMetrics["cycle"] for p in query.recentProgress if p.observedMetrics and p.numInputRows)
+    assert (cycle["published"], cycle["skipped"]) == (5, 3)
+    pings = messages.pings(messages.from_log(spark, log))
+    assert sorted({r["vehicle_id"] for r in pings.collect()}) == [f"v{k}" for k in range(5)]
+    first = pings.filter("vehicle_id = 'v3'").first()
+    assert (first["lat"], first["lon"], first["timestamp"]) == (pytest.approx(42.35, abs=1e-5), pytest.approx(-71.05, abs=1e-5), datetime(2023, 11, 14, 22, 13, 23))
+    assert first["ingested_at"] > first["timestamp"] and {r["agency_id"] for r in messages.parsed(messages.from_log(spark, log)).collect()} == {"mbta"}

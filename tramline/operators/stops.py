@@ -42,6 +42,8 @@ def feasibility(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
     return found.withColumn("pct_resolvable", F.round(100 * F.try_divide(F.col("resolvable_in_static_schedule"), F.col("total_null_stop_trips")), 6))
 
 
-def without_shuttles(pings: DataFrame, prefix: str = "Shuttle-Generic") -> DataFrame:
-    """Pings of scheduled routes, by the route's name; those without a route stay."""
-    return pings.filter(~F.coalesce(F.col("route_id").startswith(prefix), F.lit(False)))
+def without_shuttles(pings: DataFrame, prefix: str = "Shuttle-Generic", trip_prefix: str | None = None) -> DataFrame:
+    """Pings of scheduled routes, by the names of route and trip (where a prefix is given); those without a name stay."""
+    shuttle = F.col("route_id").startswith(prefix)
+    rows = pings.filter(~F.coalesce(shuttle, F.lit(False)))
+    return rows if trip_prefix is None else rows.filter(~F.coalesce(F.col("trip_id").startswith(trip_prefix), F.lit(False)))

@@ -152,11 +152,20 @@ def silent_vehicles(pings: DataFrame, seconds: float = SILENT_SECONDS, lateness:
     return rows.groupBy("vehicle_id").transformWithStateInPandas(Silence(seconds), "vehicle_id string, last_seen timestamp", "Append", "EventTime")
 
 
+GAP_COLUMNS = "vehicle_id string, prev_timestamp timestamp, timestamp timestamp, real_update_gap_seconds long"
+
+
 def stream_gaps(pings: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Gaps of a stream. Needs use_rocksdb."""
+    """Gaps of a stream as it comes. Needs use_rocksdb."""
     rows = pings.select("vehicle_id", "timestamp").withWatermark("timestamp", lateness)
-    schema = "vehicle_id string, prev_timestamp timestamp, timestamp timestamp, real_update_gap_seconds long"
-    return rows.groupBy("vehicle_id").transformWithStateInPandas(Gaps(), schema, "Append", "EventTime")
+    return rows.groupBy("vehicle_id").transformWithStateInPandas(Gaps(), GAP_COLUMNS, "Append", "EventTime")
+
+
+def deduplicated_gaps(pings: DataFrame, tiebreak: Sequence[str] = (), lateness: str = LATENESS) -> DataFrame:
+    """The gaps of quality.gaps over a stream in any order: pings are given out by the dedup once the watermark passes them,
+    so those of a vehicle reach its gaps in order, however they came. Needs use_rocksdb."""
+    rows = deduplicated(pings, tiebreak, lateness).select("vehicle_id", "timestamp")
+    return rows.groupBy("vehicle_id").transformWithStateInPandas(Gaps(), GAP_COLUMNS, "Append", "EventTime")
 
 
 def silent_batch(pings: DataFrame, seconds: float = SILENT_SECONDS) -> DataFrame:
