@@ -59,7 +59,7 @@ HEADER = {1: Field("gtfs_realtime_version", "string", True), 3: Field("timestamp
 ENTITY_TAGS = {1: Field("id", "string", True), 3: Field("trip_update", {"message": TRIP_UPDATE}), 4: Field("vehicle", {"message": VEHICLE})}
 FEED = {1: Field("header", {"message": HEADER}, True), 2: Field("entity", {"message": ENTITY_TAGS}, repeated=True)}
 VARINT, FIXED64, BYTES, FIXED32 = 0, 1, 2, 5
-FLOAT = packing.Struct("<f")
+FLOAT = packing.Struct("<f").unpack_from
 
 
 class FeedError(ValueError):
@@ -84,6 +84,8 @@ def varint(data: bytes, at: int, end: int) -> tuple[int, int]:
 
 
 def whole(value: int, kind: str) -> int | str:
+    if value < 1 << 31:  # the same in any kind
+        return str(value) if kind.endswith("_text") else value
     bits, signed = WHOLE[kind]
     value &= (1 << bits) - 1
     if signed and value >> bits - 1:
@@ -97,66 +99,107 @@ def wire_of(field: Field) -> int:
     return {"float": FIXED32, "string": BYTES}.get(field.kind, VARINT)
 
 
-def message(data: bytes, fields: dict[int, Field], at: int = 0, end: int | None = None) -> dict:
-    """The fields of the message in data[at:end]. Nothing is copied but strings; what isn't in the table is stepped over."""
-    end = len(data) if end is None else end
-    out: dict = {f.name: [] for f in fields.values() if f.repeated}
+class Layout(NamedTuple):
+    """A message's fields by key (tag and wire type), so that one look tells what to do with a value."""
+
+    by_key: dict[int, tuple[str, str, object]]
+    tags: dict[int, str]
+    required: tuple[str, ...]
+    repeated: tuple[str, ...]
+
+
+def laid_out(fields: dict[int, Field]) -> Layout:
+    by_key = {}
+    for tag, f in fields.items():
+        if not isinstance(f.kind, dict):
+            what, more = ("whole", f.kind) if f.kind in WHOLE else (f.kind, None)
+        elif "message" in f.kind:
+            what, more = "messages" if f.repeated else "message", laid_out(f.kind["message"])
+        else:
+            what, more = "enum", f.kind
+        by_key[tag << 3 | wire_of(f)] = (what, f.name, more)
+    of = fields.values()
+    return Layout(by_key, {tag: f.name for tag, f in fields.items()}, tuple(f.name for f in of if f.required), tuple(f.name for f in of if f.repeated))
+
+
+def stepped_over(data: bytes, key: int, at: int, end: int, layout: Layout) -> int:
+    """The place after a value that isn't in the layout; a field of another wire type than its own is an error."""
+    tag, wire = key >> 3, key & 7
+    if tag == 0:
+        raise FeedError("tag 0")
+    if tag in layout.tags:
+        raise FeedError(f"{layout.tags[tag]}: wire type {wire}")
+    if wire == VARINT:
+        return varint(data, at, end)[1]
+    if wire == BYTES:
+        size, at = varint(data, at, end)
+        return at + size
+    if wire in (FIXED64, FIXED32):
+        return at + (8 if wire == FIXED64 else 4)
+    raise FeedError(f"wire type {wire}")
+
+
+def message(data: bytes, layout: Layout, at: int, end: int) -> dict:
+    """The fields of the message in data[at:end]. Nothing is copied but strings; what isn't in the layout is stepped over."""
+    out: dict = {name: [] for name in layout.repeated}
+    by_key = layout.by_key
     while at < end:
         key = data[at]
         if key < 0x80:
             at += 1
         else:
             key, at = varint(data, at, end)
-        tag, wire = key >> 3, key & 7
-        if tag == 0:
-            raise FeedError("tag 0")
-        field = fields.get(tag)
-        if field is not None and wire != wire_of(field):
-            raise FeedError(f"{field.name}: wire type {wire}")
-        if wire == VARINT:
-            if at < end and data[at] < 0x80:
-                value, at = data[at], at + 1
-            else:
-                value, at = varint(data, at, end)
-            after = at
-        elif wire == BYTES:
-            if at < end and data[at] < 0x80:
-                size, at = data[at], at + 1
-            else:
-                size, at = varint(data, at, end)
-            after = at + size
-        elif wire in (FIXED64, FIXED32):
-            after = at + (8 if wire == FIXED64 else 4)
+        entry = by_key.get(key)
+        if entry is None:
+            at = stepped_over(data, key, at, end, layout)
+            if at > end:
+                raise FeedError("truncated field")
+            continue
+        what, name, more = entry
+        if what == "float":
+            after = at + 4
+            if after > end:
+                raise FeedError("truncated field")
+            out[name] = FLOAT(data, at)[0]
+            at = after
+            continue
+        if at < end and data[at] < 0x80:  # a size or a number of one byte, as nearly all are
+            value, at = data[at], at + 1
         else:
-            raise FeedError(f"wire type {wire}")
+            value, at = varint(data, at, end)
+        if what == "whole":
+            out[name] = whole(value, more)
+            continue
+        if what == "enum":
+            if value in more:  # an unknown value counts as absent
+                out[name] = more[value]
+            continue
+        after = at + value
         if after > end:
             raise FeedError("truncated field")
-        if field is not None:
-            kind = field.kind
-            if isinstance(kind, dict):
-                value = message(data, kind["message"], at, after) if wire == BYTES else kind.get(value)
-            elif kind == "string":
-                try:
-                    value = data[at:after].decode()
-                except UnicodeDecodeError as e:
-                    raise FeedError(f"{field.name}: not UTF-8") from e
-            elif kind == "float":
-                value = FLOAT.unpack_from(data, at)[0]
-            else:
-                value = whole(value, kind)
-            if field.repeated:
-                out[field.name].append(value)
-            elif value is not None:  # an enum's unknown value counts as absent
-                out[field.name] = value
+        if what == "string":
+            try:
+                out[name] = data[at:after].decode()
+            except UnicodeDecodeError as e:
+                raise FeedError(f"{name}: not UTF-8") from e
+        elif what == "message":
+            out[name] = message(data, more, at, after)
+        else:
+            out[name].append(message(data, more, at, after))
         at = after
-    if missing := [f.name for f in fields.values() if f.required and f.name not in out]:
-        raise FeedError(f"missing {', '.join(missing)}")
+    for name in layout.required:
+        if name not in out:
+            raise FeedError(f"missing {name}")
     return out
 
 
+FEED_LAYOUT = laid_out(FEED)
+
+
 def decode_feed(data: bytes) -> list[dict]:
     """The entities of a snapshot; FeedError for garbage and for no bytes."""
-    return message(bytes(data), FEED)["entity"]
+    data = bytes(data)
+    return message(data, FEED_LAYOUT, 0, len(data))["entity"]
 
 
 def encode(value: dict, fields: dict[int, Field] = FEED) -> bytes:
@@ -177,7 +220,7 @@ def encode(value: dict, fields: dict[int, Field] = FEED) -> bytes:
         found = value.get(field.name)
         for x in found if field.repeated else [] if found is None else [found]:
             if field.kind == "float":
-                out += number(tag << 3 | FIXED32) + FLOAT.pack(x)
+                out += number(tag << 3 | FIXED32) + packing.pack("<f", x)
             elif field.kind == "string":
                 out += framed(tag, x.encode())
             elif isinstance(field.kind, str):
