@@ -233,7 +233,8 @@ def sampled(docs: DataFrame, labels: DataFrame, held_out: str) -> DataFrame:
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("crc", id_crc32(F.col("doc_id"))).filter(f"NOT ({held_out})")
     texts = docs.withColumn("key", F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("th")))
-    rows = texts.groupBy("doc_id").agg(F.min("key").alias("key")).join(known, "doc_id").withColumn("turn", F.xxhash64("doc_id")).withColumn("size", F.col("key.size"))
+    rows = texts.join(known, "doc_id").groupBy("doc_id").agg(F.min("key").alias("key"), F.first("toxic").alias("toxic"))
+    rows = rows.withColumn("turn", F.xxhash64("doc_id")).withColumn("size", F.col("key.size"))
     order = [F.greatest("size", F.lit(SAMPLE_TEXT)), "turn", "doc_id"]
     picked = [rows.filter(F.col("toxic") == k).orderBy(*order).limit(SAMPLE_ROWS) for k in (0, 1)]
     running = Window.partitionBy("toxic").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
