@@ -1,10 +1,9 @@
 """Exact descriptive statistics, of all rows or by group. Quantiles interpolate linearly.
 
 Quantiles are found by rank, so no task or aggregation buffer ever holds all values of a group. Equal values are counted
-first, combined before the shuffle. The counts fall into bins of nearly equal ratio, 64 for each doubling, and prefix
-sums over the bins (of which a group has a bounded number) tell which ones hold the wanted ranks. Only the values of
-these go on, to 65,536 equal bins between the least and the largest of them, and once more only those of the bins that
-hold a rank. A window sorts what is left. Bins are monotone in the value, so the ranks are exact.
+first, combined before the shuffle. The counts fall into bins of equal ratio, 65,536 for each doubling, and prefix sums
+over a group's bins tell which ones hold the wanted ranks. Only the values of these bins go on, to a window that sorts
+them. Bins never fall as values rise, so the ranks are exact.
 """
 
 from __future__ import annotations
@@ -15,16 +14,16 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 DIGITS = 6
-PER_DOUBLING, FINE_BINS = 64, 1 << 16
+PER_DOUBLING = 1 << 16
 #: Beyond the bins of all finite numbers (some 2,100 doublings).
-BIN_MOST = 1 << 20
+BIN_MOST = 1 << 30
 
 
 def quantile_name(q: float) -> str:
     return f"p{q * 100:g}".replace(".", "_")
 
 
-def coarse_bin(x: Column) -> Column:
+def bin_of(x: Column) -> Column:
     """A whole number that never falls as x rises; infinities and NaN, the largest, have bins of their own."""
     size = F.floor(F.log2(F.abs(x)) * PER_DOUBLING) + BIN_MOST // 2
     finite = F.when(x == 0, F.lit(0)).when(x > 0, size).otherwise(-size)
@@ -61,27 +60,19 @@ def quantiles_by_rank(df: DataFrame, column: str, qs: Sequence[float], by: Seque
     Groups may be NULL. Without `by` there is just one row, also of an empty table.
     """
     counts = df.groupBy(*by, F.col(column).cast("double").alias("_x")).agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_bin", coarse_bin(F.col("_x")))
-    # ranks to coarse bins; the bin of NULL has no ranks, and keeps groups that have nothing else
+    counts = counts.withColumn("_bin", bin_of(F.col("_x")))
+    # ranks to bins; the bin of NULL has no ranks, and keeps groups that have nothing else
     size = F.when(F.col("_bin").isNotNull(), F.col("_n")).otherwise(0)
-    bins = counts.groupBy(*by, "_bin").agg(F.sum(size).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    bins = counts.groupBy(*by, "_bin").agg(F.sum(size).alias("_n"))
     w = group_window(by)
     bins = bins.withColumns({"_before": F.coalesce(F.sum("_n").over(w.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_total": F.sum("_n").over(w)})
     wanted = F.filter(ranks_of(qs, F.col("_total")), lambda x: inside(F.col("_before"), F.col("_n"), x["r"]))
-    chosen = bins.select(*by, "_bin", "_lo", "_hi", "_before", F.explode_outer(wanted).alias("_w")).filter("_w IS NOT NULL OR _bin IS NULL")
-    chosen = chosen.select(*by, "_bin", "_lo", "_hi", F.col("_w.t").alias("_t"), F.col("_w.between").alias("_between"), (F.col("_w.r") - F.col("_before")).alias("_r"))
-    # ranks to fine bins
-    rows = matched(counts, chosen, [*by, "_bin"])
-    part = F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * FINE_BINS)
-    rows = rows.select(*by, "_x", "_n", "_t", "_between", "_r", F.coalesce(F.when(F.col("_hi") > F.col("_lo"), part), F.lit(0)).alias("_fine"))
-    keys = [*by, "_t"]
-    fine = rows.groupBy(*keys, "_r", "_fine").agg(F.sum("_n").alias("_n"))
-    w = Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    fine = fine.withColumn("_before", F.coalesce(F.sum("_n").over(w.orderBy("_fine")), F.lit(0)))
-    fine = fine.filter(F.col("_t").isNull() | inside(F.col("_before"), F.col("_n"), F.col("_r")))
-    # ranks to values
-    rows = matched(rows, fine.select(*keys, "_fine", "_before"), [*keys, "_fine"])
-    rows = rows.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(w.orderBy("_x")), F.lit(0)))
+    chosen = bins.select(*by, "_bin", "_before", F.explode_outer(wanted).alias("_w")).filter("_w IS NOT NULL OR _bin IS NULL")
+    chosen = chosen.select(*by, "_bin", F.col("_w.t").alias("_t"), F.col("_w.between").alias("_between"), (F.col("_w.r") - F.col("_before")).alias("_r"))
+    # ranks to values; without groups, two rows for each quantile at most are chosen, so they are broadcast
+    rows = matched(counts, chosen if by else F.broadcast(chosen), [*by, "_bin"])
+    w = Window.partitionBy(*by, "_t").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     rows = rows.filter(F.col("_t").isNull() | inside(F.col("_before"), F.col("_n"), F.col("_r")))
     ends = [F.max(F.when(F.col("_t") == t, F.col("_x"))).alias(f"_v{t}") for t in range(2 * len(qs))]
     share = [F.max(F.when(F.col("_t") == 2 * k, F.col("_between"))).alias(f"_s{k}") for k in range(len(qs))]
