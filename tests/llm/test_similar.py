@@ -7,6 +7,7 @@ from corpus_pipeline import near_dedup
 from fixtures import DATA, TEXTS, docs, words_of
 
 from tramline.llm import similar
+from tramline.llm.common import Scratch, keyed_texts
 
 
 def plain_kept(texts: list[tuple]) -> list:
@@ -91,6 +92,22 @@ def test_signatures_bound_the_difference():
             assert differ <= len(np.setxor1d(a, b)) and (differ > 0 or len(np.setxor1d(a, b)) % 2 == 0)
 
 
+def test_texts_that_cannot_be_similar_are_not_compared(spark):
+    """Copies of one text that each differ from it in too much to be near each other share shingles, but make no rows to compare."""
+    rng = random.Random(6)
+    base, texts = [f"w{k}" for k in range(300)], []
+    for k in range(80):
+        words = list(base)
+        for j in range(9):  # 45 of 296 shingles are the text's own, where two similar sets of this size can have 32 each at most
+            words[5 + 30 * j + rng.randrange(20)] = f"x{k}-{j}"
+        texts.append((k, " ".join(words)))
+    scratch = Scratch(spark, "test")
+    sets = scratch.keep(similar.shingle_sets(keyed_texts(docs(spark, texts)), [], True), "sets")
+    assert similar.links(sets, scratch).count() == 0
+    assert spark.read.parquet(f"{scratch.root}/first").count() == 0
+    assert kept(near_dedup(spark, docs(spark, texts), DATA)) == plain_kept(texts) == [(False, k) for k in range(80)]
+
+
 def test_near_copies_odd_cases(spark):
     assert kept(near_dedup(spark, docs(spark), DATA)) == plain_kept(TEXTS)
     assert near_dedup(spark, docs(spark).filter("false"), DATA).collect() == []

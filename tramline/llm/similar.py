@@ -3,9 +3,9 @@
 A text is the set of its shingles' hashes; two texts are near copies if their sets' Jaccard similarity is LEAST or more.
 Sets that are so similar share shingles early in any order of all shingles (prefix filter), so texts too few of whose
 first shingles recur go at once; of the others, texts that share a shingle among their first in the order from rare to
-common are compared as whole sets. Where many texts share a shingle, the one with the commonest shingles comes first, as
-it is what the others are copies of, and only pairs whose bit signatures are near are compared at all. Shingles and
-equal sets are known by 64-bit hashes.
+common are compared as whole sets, where the shingles from there on can be enough (positional filter). Where many texts
+share a shingle, the one with the commonest shingles comes first, as it is what the others are copies of, and only pairs
+whose bit signatures are near are compared at all. Shingles and equal sets are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -108,10 +108,16 @@ def near_signatures() -> Column:
     return differ * sum(LEAST) <= (F.col("a.n") + F.col("b.n")) * (LEAST[1] - LEAST[0])
 
 
+def reaches(row: str, n: Column) -> Column:
+    """Whether a set's shingles from its turn on are enough to be as similar to a set of n, if none before is in that too."""
+    return (F.col(f"{row}n") - F.col(f"{row}turn") + 1) * sum(LEAST) >= (F.col(f"{row}n") + n) * LEAST[0]
+
+
 def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of similar sets.
 
-    A group is the sets with one shingle among their first. All pairs of a small group are compared. In a large one
+    A group is the sets with one shingle among their first, without those that can't be as similar to the group's
+    smallest if this shingle is the first in common. All pairs of a small group are compared. In a large one
     each is compared with one of the group, for PIVOT_ROUNDS rounds: first with that whose shingles are the commonest,
     which is the one that near copies were made from, as changes make rare shingles; then with others. After that, pairs
     that no chain of links joins yet and whose signatures are near are compared.
@@ -120,19 +126,22 @@ def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
     flat_ = flat_.withColumn("c", F.count("*").over(Window.partitionBy("h")))
     of_set = Window.partitionBy("k")
     flat_ = flat_.withColumn("turn", F.row_number().over(of_set.orderBy("c", "h"))).withColumn("common", F.avg(F.log2("c")).over(of_set))
-    first = flat_.filter(f"turn <= n - (n * {LEAST[0]} + {LEAST[1] - 1}) div {LEAST[1]} + 1 AND c > 1").select("h", "k", "n", "common")
-    first = first.withColumn("c", F.count("*").over(Window.partitionBy("h"))).filter("c > 1")
+    first = flat_.filter(f"turn <= n - (n * {LEAST[0]} + {LEAST[1] - 1}) div {LEAST[1]} + 1 AND c > 1").select("h", "k", "n", "turn", "common")
+    of_shingle = Window.partitionBy("h")
+    first = first.withColumn("least", F.min("n").over(of_shingle)).filter(reaches("", F.col("least"))).drop("least")
+    first = first.withColumn("c", F.count("*").over(of_shingle)).filter("c > 1")
     first = scratch.keep(first, "first")
+    ordered = reaches("a.", F.col("b.n")) & reaches("b.", F.col("a.n"))  # holds at the first shingle that two similar sets share
     sizes = F.least("a.n", "b.n") * LEAST[1] >= F.greatest("a.n", "b.n") * LEAST[0]
 
     def paired(groups: DataFrame, others: DataFrame, when: Column) -> DataFrame:
         both = groups.alias("a").join(others.alias("b"), (F.col("a.h") == F.col("b.h")) & sizes & when)
         return both.select(F.greatest("a.k", "b.k").alias("a"), F.least("a.k", "b.k").alias("b")).distinct()
 
-    few = first.filter(f"c <= {PAIRED_MOST}").select("h", "k", "n")
-    pairs = scratch.keep(paired(few, few, F.col("a.k") > F.col("b.k")), "pairs")
+    few = first.filter(f"c <= {PAIRED_MOST}").select("h", "k", "n", "turn")
+    pairs = scratch.keep(paired(few, few, (F.col("a.k") > F.col("b.k")) & ordered), "pairs")
     edges = scratch.keep(similar(pairs, sets), "similar")
-    crowded = first.filter(f"c > {PAIRED_MOST}").select("h", "k", "n", "common").join(sets.select("k", *SIGNATURE), "k")
+    crowded = first.filter(f"c > {PAIRED_MOST}").select("h", "k", "n", "turn", "common").join(sets.select("k", *SIGNATURE), "k")
     crowded = scratch.keep(crowded, "crowded")
     for turn in range(PIVOT_ROUNDS + 1):
         if crowded.isEmpty():
@@ -142,11 +151,12 @@ def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
         # groups that aren't joined as a whole
         open_ = labelled.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("h")
         live = scratch.keep(labelled.join(open_, "h", "left_semi"), f"live-{turn}")
-        other = live
+        other, when = live, (F.col("a.k") > F.col("b.k")) & ordered
         if turn < PIVOT_ROUNDS:
+            when = F.lit(True)
             order = F.struct(F.col("common") if turn == 0 else F.lit(0.0), F.xxhash64("k", F.lit(turn)))
             other = live.groupBy("h").agg(F.max_by(F.struct("k", "n", "root", *SIGNATURE), order).alias("p")).select("h", "p.*")
-        pairs = scratch.keep(paired(live, other, (F.col("a.root") != F.col("b.root")) & near_signatures()), f"pairs-{turn}")
+        pairs = scratch.keep(paired(live, other, when & (F.col("a.root") != F.col("b.root")) & near_signatures()), f"pairs-{turn}")
         edges = edges.union(scratch.keep(similar(pairs, sets), f"similar-{turn}"))
         crowded = live.drop("root")
     return edges
