@@ -8,6 +8,7 @@ from fixtures import DATA, TEXTS, docs, words_of
 
 from tramline.llm import similar
 from tramline.llm.common import Scratch, keyed_texts
+from tramline.llm.simhash import fingerprint
 
 
 def plain_kept(texts: list[tuple]) -> list:
@@ -92,6 +93,26 @@ def test_signatures_bound_the_difference():
             assert differ <= len(np.setxor1d(a, b)) and (differ > 0 or len(np.setxor1d(a, b)) % 2 == 0)
 
 
+def test_fingerprints_join_near_copies_by_themselves(spark, monkeypatch):
+    """Without the links by shingles, what is left is what SimHash links and the check confirms."""
+    rng, texts = random.Random(5), []
+    for k in range(60):
+        if k % 6 == 0:
+            base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        words = list(base)
+        for _ in range(k % 6 % 3):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts.append((k, " ".join(words)))
+    prints = [fingerprint(words_of(t, lower=True), similar.SHINGLE) for _, t in texts]
+    least = list(range(60))
+    for _ in texts:
+        least = [min(least[j] for j in range(60) if (prints[i] ^ prints[j]).bit_count() <= 2 and i // 6 == j // 6) for i in range(60)]
+    expected = [(False, i) for i in sorted(set(least))]
+    assert 10 <= len(expected) < 40 and len(set(prints)) > 12
+    monkeypatch.setattr(similar, "links", lambda sets, scratch, known: known)
+    assert kept(near_dedup(spark, docs(spark, texts), DATA)) == expected
+
+
 def test_texts_that_cannot_be_similar_are_not_compared(spark):
     """Copies of one text that each differ from it in too much to be near each other share shingles, but make no rows to compare."""
     rng = random.Random(6)
@@ -103,7 +124,8 @@ def test_texts_that_cannot_be_similar_are_not_compared(spark):
         texts.append((k, " ".join(words)))
     scratch = Scratch(spark, "test")
     sets = scratch.keep(similar.shingle_sets(keyed_texts(docs(spark, texts)), [], True), "sets")
-    assert similar.links(sets, scratch).count() == 0
+    none = spark.createDataFrame([], "a long, b long")
+    assert similar.links(sets, scratch, none).count() == 0
     assert spark.read.parquet(f"{scratch.root}/first").count() == 0
     assert kept(near_dedup(spark, docs(spark, texts), DATA)) == plain_kept(texts) == [(False, k) for k in range(80)]
 

@@ -1,7 +1,9 @@
-"""Near copies by the similarity of their word shingles, exactly.
+"""Near copies by SimHash (see simhash), checked and completed by the exact similarity of their word shingles.
 
 A text is the set of its shingles' hashes; two texts are near copies if their sets' Jaccard similarity is LEAST or more.
-Sets that are so similar share shingles early in any order of all shingles (prefix filter), so texts too few of whose
+Every text's fingerprint is linked first, by the grid over segment popcounts, and links of similar sets hold. Pairs of
+less similar texts lie at larger Hamming distances, up to any, so what fingerprints can't join is found by shingles:
+sets that are so similar share shingles early in any order of all shingles (prefix filter), so texts too few of whose
 first shingles recur go at once; of the others, texts that share a shingle among their first in the order from rare to
 common are compared as whole sets, where the shingles from there on can be enough (positional filter). Where many texts
 share a shingle, the one with the commonest shingles comes first, as it is what the others are copies of, and only pairs
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 
 from tramline.llm.common import LOWER, Scratch, cut, flat, keyed_texts, lists, mixed, same_doc, unpacked, word_bounds
 from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
-from tramline.llm.simhash import components
+from tramline.llm import simhash
+from tramline.llm.simhash import components, fingerprints
 
 SHINGLE = 5
 #: The least similarity, as a fraction.
@@ -113,8 +116,24 @@ def reaches(row: str, n: Column) -> Column:
     return (F.col(f"{row}n") - F.col(f"{row}turn") + 1) * sum(LEAST) >= (F.col(f"{row}n") + n) * LEAST[0]
 
 
-def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """Edges (a, b) whose components are those of all pairs of similar sets.
+def alike(rows: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) of similar sets whose texts' fingerprints are equal or linked, from each row's set k and fingerprint fp.
+
+    Of the sets with one fingerprint the least stands for it: the others are compared with it, and it with those of
+    linked fingerprints.
+    """
+    marks = scratch.keep(rows.select("k", "fp").distinct(), "marks")
+    fps = scratch.keep(marks.groupBy("fp").agg(F.min("k").alias("least")), "fps")
+    found = simhash.links(fps.select("fp"), Scratch(rows.sparkSession, "simhash"))
+    same = marks.join(fps, "fp").filter("k <> least").select(F.col("k").alias("a"), F.col("least").alias("b"))
+    a, b = (fps.select(F.col("fp").alias(x), F.col("least").alias(f"least_{x}")) for x in "ab")
+    near = found.join(a, "a").join(b, "b").filter("least_a <> least_b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
+    pairs = same.union(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return scratch.keep(similar(pairs, sets), "alike")
+
+
+def links(sets: DataFrame, scratch: Scratch, known: DataFrame) -> DataFrame:
+    """Edges (a, b), with the known ones, whose components are those of all pairs of similar sets.
 
     A group is the sets with one shingle among their first, without those that can't be as similar to the group's
     smallest if this shingle is the first in common. All pairs of a small group are compared. In a large one
@@ -140,7 +159,7 @@ def links(sets: DataFrame, scratch: Scratch) -> DataFrame:
 
     few = first.filter(f"c <= {PAIRED_MOST}").select("h", "k", "n", "turn")
     pairs = scratch.keep(paired(few, few, (F.col("a.k") > F.col("b.k")) & ordered), "pairs")
-    edges = scratch.keep(similar(pairs, sets), "similar")
+    edges = known.union(scratch.keep(similar(pairs.join(known, ["a", "b"], "left_anti"), sets), "similar"))
     crowded = first.filter(f"c > {PAIRED_MOST}").select("h", "k", "n", "turn", "common").join(sets.select("k", *SIGNATURE), "k")
     crowded = scratch.keep(crowded, "crowded")
     for turn in range(PIVOT_ROUNDS + 1):
@@ -169,12 +188,13 @@ def keep_one_similar(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "similar")
     texts = keyed_texts(docs, rest=True).withColumn("place", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("th").alias("th")))
-    rows = scratch.keep(shingle_sets(texts, ["place"], False, shingle), "rows")
+    marked = fingerprints(texts, ["place", "text"], shingle)
+    rows = scratch.keep(shingle_sets(marked, ["place", "fp"], False, shingle), "rows")
     named = scratch.keep(rows.groupBy("k").agg(F.min("place").alias("place"), F.first("n").alias("n")), "named")
     able = scratch.keep(recurring(rows).join(named.select("k", "place"), "k").select(F.col("place.id").alias("doc_id"), F.col("place.th").alias("th")), "able")
     sets = shingle_sets(same_doc(texts.select("doc_id", "th", "text"), able, "left_semi"), [], True, shingle)
     sets = scratch.keep(sets.dropDuplicates(["k"]), "sets")
-    found = scratch.keep(components(links(sets, scratch), scratch), "found")
+    found = scratch.keep(components(links(sets, scratch, alike(rows, sets, scratch)), scratch), "found")
     joined = named.join(found.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
     kept = joined.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.id").alias("doc_id"), F.col("place.th").alias("th"))
     out = same_doc(texts.drop("place"), kept, "left_semi")
