@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pytest
 
-from tramline.operators import bottlenecks, bunching, predictions, quality, stats
+from tramline.operators import bottlenecks, bunching, extensions, predictions, quality, stats
 from tramline.operators.asof import latest_before
 from tramline.sources.feed import FeedError, decode_feed, encode, entities
 
@@ -229,6 +229,21 @@ def test_consecutive_vehicles_bunch(spark):
     assert bunching.bunched(df, trips, times, 100, 0.5, "UTC").count() == 0
 
 
+def test_near_vehicles_against_all_pairs(spark):
+    rng = random.Random(3)
+    spots = [(f"v{k}", f"r{k % 2}", at(3600 * (k % 3)), 42 + rng.random() / 1500, -71 - rng.random() / 1500) for k in range(90)]
+
+    def meters(a, b):
+        return math.hypot((b[3] - a[3]) * 111_320, (b[4] - a[4]) * 111_320 * math.cos(math.radians((a[3] + b[3]) / 2)))
+
+    expected = {(*sorted((a[0], b[0])), round(meters(a, b), 3)) for a in spots for b in spots if a[0] < b[0] and a[1:3] == b[1:3] and meters(a, b) <= 40}
+    df = extensions.bunching(spark.createDataFrame(spots, "vehicle_id string, route_id string, timestamp timestamp, lat double, lon double"), 40, 3600)
+    got = [(r["vehicle_a"], r["vehicle_b"], r["meters"]) for r in df.collect()]
+    assert 50 < len(expected) == len(got) and set(got) == expected
+    # the result grows with the square of a crowd, so nothing in a row of it goes through decimal text
+    assert " round(" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 # bottlenecks
 
 
