@@ -2,17 +2,18 @@
 
 import math
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
-from fixtures import DATA, TEXTS, collected, docs, sha, table_texts
+from fixtures import DATA, PROSE, TEXTS, collected, docs, sha, table_texts
 from tokenizers import Tokenizer as Library
 
 import corpus_pipeline
-from tramline.llm import telephony
+from tramline.llm import bpe, telephony
 from tramline.llm.bpe import Tokenizer, decoded, digests, encoded, op10_bpe, public_file
 from tramline.llm.mixture import exponent, measures, mixed_texts, mixture, op6_temperature_mixture, quotas, shares
 from tramline.llm.neighbours import nearest, op7_nearest_neighbours
@@ -304,6 +305,28 @@ def test_bpe_of_odd_strings(library):
         assert mine.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_memory_is_bounded(library):
+    with open(public_file(), encoding="utf-8") as f:
+        mine = Tokenizer(f.read())
+    n = 17_000
+    text = " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}word{'.' * (k % 2)}" for k in range(n)) + " " + "x" * 50_000
+    assert mine.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    held = [x for memory in (mine.known, mine.chunks) for x in memory.new.items()]
+    assert (len(mine.known.new), len(mine.chunks.new)) == (n + 1, n)  # the long run isn't kept
+    of_one = sum(sys.getsizeof(k) + sys.getsizeof(v) + sum(map(sys.getsizeof, v if isinstance(v, tuple) else ())) for k, v in held) / len(held)
+    assert of_one * 2 * (mine.known.most + mine.chunks.most) < 80e6
+
+
+def test_bpe_digests_of_a_long_text_in_pieces(library, monkeypatch):
+    with open(public_file(), encoding="utf-8") as f:
+        mine = Tokenizer(f.read())
+    texts = [PROSE * 3, "", "one"]
+    whole = mine.digests(texts)
+    monkeypatch.setattr(bpe, "PIECE", 7)
+    assert [x[1:3] for x in [mine.digests([t]) for t in texts]] == [([a], [b]) for a, b in zip(*whole[1:3], strict=True)]
+    assert whole[0].tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_pipeline(spark, library):
     """Each stage on what the one before kept; the last against the library."""
     given = spark.read.parquet(f"{DATA}/documents.parquet")

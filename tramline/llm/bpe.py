@@ -2,6 +2,8 @@
 
 A word's symbols form a doubly linked list; a priority queue holds the mergeable pairs by rank and place. A popped pair
 that no longer stands is skipped. Decoding concatenates vocabulary strings.
+
+A worker remembers runs of text by their ids alone. A batch's decimals and decoded texts are taken from Arrow columns by id.
 """
 
 from __future__ import annotations
@@ -16,14 +18,18 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm.common import cut, doc_texts, table
+from tramline.llm.common import cut, doc_texts, flat, lists, table
 
 FILE = "word_bpe_49k.json"
-#: Encoded words that a Python worker remembers, and as many from before; half as many runs without white space.
-REMEMBERED = 300_000
+#: Encoded words that a Python worker remembers, and as many from before; as many runs without white space. Characters
+#: of the longest that it remembers.
+REMEMBERED, LONGEST = 100_000, 64
+#: Ids of one text whose strings are joined at a time.
+PIECE = 1 << 24
 #: Unicode white space (fixed values), which regular expressions of other libraries call \s.
 SPACE = "\t-\r \x85\xa0  -     　"
 
@@ -45,24 +51,23 @@ def byte_letters() -> list[str]:
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 
-#: A run of text that is encoded by itself: the number of its ids, its ids as decimals joined by spaces, decoded, and as 32-bit numbers.
-Run = tuple[int, str, str, bytes]
-
-
 class Memory:
-    """The newest values by key, between `most` and twice as many."""
+    """The newest values by key, between `most` and twice as many; those of keys of over LONGEST characters are made each time."""
 
-    def __init__(self, make: Callable[[str], Run], most: int):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         self.make, self.most = make, most
-        self.new: dict[str, Run] = {}
-        self.old: dict[str, Run] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def found(self, key: str) -> Run:
+    def found(self, key: str) -> bytes:
         out = self.new.get(key)
         if out is None:
+            if len(key) > LONGEST:
+                return self.make(key)
             if len(self.new) >= self.most:
                 self.old, self.new = self.new, {}
-            out = self.new[key] = self.old.get(key) or self.make(key)
+            out = self.old.get(key)
+            self.new[key] = out = self.make(key) if out is None else out
         return out
 
 
@@ -76,6 +81,8 @@ class Tokenizer:
         self.ids: dict[str, int] = dict(model["vocab"])
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
+        ids = range(1 + max(self.strings, default=0))
+        self.columns = pa.array([str(i) for i in ids], pa.string()), pa.array([self.strings.get(i, "") for i in ids], pa.string())
         # the rank of each pair of ids, as one number, and what the pair of each rank becomes
         self.base = 1 + max(self.ids.values(), default=0)
         pairs = [pair if isinstance(pair, list) else pair.split(" ") for pair in model["merges"]]
@@ -86,7 +93,7 @@ class Tokenizer:
         self.words = regex.compile(pattern.replace(r"[^\s", f"[^{SPACE}"))
         self.gaps = regex.compile(f"[{SPACE}]+")
         self.marks = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known, self.chunks = Memory(self.word, REMEMBERED), Memory(self.chunk, REMEMBERED // 2)
+        self.known, self.chunks = Memory(self.word, REMEMBERED), Memory(self.chunk, REMEMBERED)
 
     def merged(self, symbols: list[int]) -> list[int]:
         """Merges the pair of least rank, the leftmost of equals, until none is left."""
@@ -119,44 +126,42 @@ class Tokenizer:
                     heapq.heappush(queue, rank * n + before)
         return [s for s in symbols if s >= 0]
 
-    def run(self, ids: list[int]) -> Run:
-        return len(ids), " ".join(map(str, ids)), self.decode(ids), array("i", ids).tobytes()
-
-    def word(self, word: str) -> Run:
+    def word(self, word: str) -> bytes:
         letters = [self.letters[b] for b in word.encode()]
         letters[-1] += self.suffix
-        return self.run(self.merged([self.ids[x] for x in letters if x in self.ids]))
+        return array("i", self.merged([self.ids[x] for x in letters if x in self.ids])).tobytes()
 
-    def chunk(self, chunk: str) -> Run:
+    def chunk(self, chunk: str) -> bytes:
         """A run without white space."""
         low = chunk.lower() if "Σ" not in chunk else "".join(c.lower() for c in chunk)
         if low.isalpha():  # one word
             return self.known.found(low)
-        return joined([self.known.found(m) for m in self.words.findall(low)])
+        return b"".join([self.known.found(m) for m in self.words.findall(low)])
 
-    def runs(self, text: str) -> list[Run]:
-        """The text's runs that have ids; special tokens written in it are runs of their own."""
+    def packed(self, text: str) -> bytes:
+        """The text's ids as 32-bit numbers; special tokens written in it are runs of their own."""
         if self.marks is None or not any(x in text for x in self.special):
             return self.plain(text)
         out, at = [], 0
         for m in self.marks.finditer(text):
-            out += [*self.plain(text[at : m.start()]), self.run([self.special[m.group()]])]
+            out += [self.plain(text[at : m.start()]), array("i", [self.special[m.group()]]).tobytes()]
             at = m.end()
-        return [*out, *self.plain(text[at:])]
+        return b"".join([*out, self.plain(text[at:])])
 
-    def plain(self, text: str) -> list[Run]:
+    def plain(self, text: str) -> bytes:
         text = text if text.isascii() else unicodedata.normalize("NFC", text)
         chunks = text.split() if not any(x in text for x in ODD_SPACE) else filter(None, self.gaps.split(text))
-        return list(map(self.chunks.found, chunks))
+        return b"".join(map(self.chunks.found, chunks))
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text."""
-        return np.frombuffer(b"".join([x[3] for x in self.runs(text)]), np.int32)
+        return np.frombuffer(self.packed(text), np.int32)
 
-    def digest(self, text: str) -> tuple[int, str, str, np.ndarray]:
-        """Number of ids, SHA-256 of the ids (decimal, joined by spaces) and of what they decode to, and the ids."""
-        number, decimals, strings, ids = joined(self.runs(text))
-        return number, hashlib.sha256(decimals.encode()).hexdigest(), hashlib.sha256(strings.encode()).hexdigest(), np.frombuffer(ids, np.int32)
+    def digests(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[str], np.ndarray]:
+        """Number of ids of each text, SHA-256 of the ids (decimal, joined by spaces) and of what they decode to, and all ids."""
+        packed = list(map(self.packed, texts))
+        counts, ids = np.array([len(x) // 4 for x in packed]), np.frombuffer(b"".join(packed), np.int32)
+        return counts, *[joined_sha256(column, ids, counts) for column in self.columns], ids
 
     def decode(self, ids: Iterable[int]) -> str:
         """Vocabulary strings with a space between, as a file without a decoder asks for; unknown ids are left out."""
@@ -164,10 +169,23 @@ class Tokenizer:
         return " ".join([strings[i] for i in ids if i in strings])
 
 
-def joined(runs: list[Run]) -> Run:
-    """Decimals join by a space, and decoded runs too (see decode)."""
-    runs = [x for x in runs if x[0]]
-    return sum([x[0] for x in runs]), " ".join([x[1] for x in runs]), " ".join([x[2] for x in runs]), b"".join([x[3] for x in runs])
+def joined_sha256(column: pa.Array, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+    """Of each text, the SHA-256 of its ids' strings joined by spaces. A batch is small, or one text of any length."""
+    if len(counts) == 1 and len(ids) > PIECE:
+        whole = hashlib.sha256()
+        for at in range(0, len(ids), PIECE):
+            part = ids[at : at + PIECE]
+            whole.update(b" " * (at > 0))
+            whole.update(joined(column, part, np.array([len(part)]))[0])
+        return [whole.hexdigest()]
+    data, offsets = joined(column, ids, counts)
+    return [hashlib.sha256(data[a:b]).hexdigest() for a, b in pairwise(offsets.tolist())]
+
+
+def joined(column: pa.Array, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of `column` by id, joined by spaces within each text: all bytes, and n + 1 offsets."""
+    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+    return flat(pc.binary_join(pa.ListArray.from_arrays(offsets, column.take(pa.array(ids))), " "))
 
 
 _opened: dict[str, Tokenizer] = {}
@@ -222,11 +240,11 @@ def digests(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
 
     Null text counts as empty; null ids and repeated rows pass through; an empty table gives an empty result.
     """
-    kinds = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()))[: 3 + ids]
 
     def make(t: Tokenizer, batch: pa.RecordBatch) -> list[pa.Array]:
-        out = zip(*[t.digest(x) for x in batch.column("text").to_pylist()], strict=True)
-        return [pa.array(c, k) for c, k in zip(out, kinds, strict=False)]
+        counts, of_ids, of_strings, held = t.digests(batch.column("text").to_pylist())
+        out = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_strings, pa.string())]
+        return [*out, lists(held, counts, pa.int32())] if ids else out
 
     return mapped(doc_texts(docs), path, ["doc_id"], "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids, make)
 
