@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import DATA, TEXTS, crc, docs, table_texts, words_of
 
@@ -135,6 +136,22 @@ def test_mixing_against_a_loop(model):
     assert got == pytest.approx([plain_score(t, model) for t in texts], rel=1e-4)
 
 
+def test_mixing_in_any_steps(model, monkeypatch):
+    texts = [b" ".join(b"w%d" % (k % m) for k in range(3 * m)) for m in (1, 300, 2, 90, 5, 40, 700)] + [b"", b"end"]
+    rows = pa.RecordBatch.from_pydict({"text": [t.decode() for t in texts]})
+    plain = [plain_score(t, model) for t in texts]
+    for side, step, together in ((1 << 21, 1 << 19, 128), (1 << 21, 500, 2), (2_000, 100, 3), (1, 1, 1)):
+        monkeypatch.setattr(mixing_model, "SIDE_BYTES", side)
+        monkeypatch.setattr(mixing_model, "STEP_BYTES", step)
+        monkeypatch.setattr(mixing_model, "SIDE_TEXTS", together)
+        got = []
+        for batch, scores in mixing_model.sides([rows], model):
+            ends = np.cumsum([len(t) + 1 for t in batch.column("text").to_pylist()])
+            got += np.diff(np.append(0, np.cumsum(scores)[ends - 1])).tolist()
+            assert len(scores) == ends[-1]
+        assert got == pytest.approx(plain, rel=1e-4, abs=1e-6)
+
+
 def test_next_symbol_probabilities_sum_to_one(model):
     p = [2.0 ** log2_scores(np.array([s], np.uint16), np.array([0, 1]), model)[0] for s in range(END + 1)]
     assert sum(p) == pytest.approx(1, abs=1e-3)

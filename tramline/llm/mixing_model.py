@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, count
+from itertools import accumulate, count, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -39,8 +39,11 @@ WORD_REACH = 6
 CONFIDENT = (1, 4, 32)
 #: Weights that each text starts with: predictor by confidence.
 START = np.array([[0, 0.2, 0.2, 0.2], [0, 0.35, 0.4, 0.4], [0, 0.3, 0.45, 0.5]], np.float32)
-#: Bytes of text scored side by side: their arrays fit a core's cache.
+#: Bytes of text whose symbols' contexts and words are found at a time.
 STEP_BYTES = 1 << 19
+#: Bytes of text scored side by side, so that long texts leave few steps with little in them; texts of one step, whose
+#: arrays fit a core's cache.
+SIDE_BYTES, SIDE_TEXTS = 1 << 21, 128
 RATE, BLOCK, LEAST_P = 2.0, 256, 1e-4
 #: Common words whose counts every task holds (16 bytes each); the other words' counts are joined.
 HEAD_WORDS = 1 << 16
@@ -67,42 +70,39 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def contexts(syms: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Each predictor's slot at each symbol; no context reaches into another text."""
     begins, n = offsets[:-1], len(syms)
-    byte = (syms & 0xFF).astype(np.uint64)
-
-    def ago(x: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros(n, np.uint64)
-        out[k:] = x[: max(n - k, 0)]
-        return out
-
-    # the WORD_REACH bytes before each symbol, the nearest lowest: two, four, six
-    last = ago(byte, 1)
-    last |= ago(last, 1) << np.uint64(8)
-    two = last
-    last = last | ago(two, 2) << np.uint64(16)
-    last |= ago(two, 4) << np.uint64(32)
+    byte = np.zeros(n + 8, np.uint8)
+    byte[8:] = syms & 0xFF
+    # the WORD_REACH bytes before each symbol, the nearest lowest
     reach = np.array([(1 << 8 * k) - 1 for k in range(WORD_REACH + 1)], np.uint64)
+    last = np.ndarray(n, ">u8", byte, strides=(1,)).astype(np.uint64)
     for k in range(WORD_REACH):
         inside = begins[begins + k < offsets[1:]] + k
         last[inside] &= reach[k]
 
-    def since(breaks: np.ndarray, values: np.ndarray) -> np.ndarray:
-        return np.repeat(values, np.diff(np.append(breaks, n)))
-
     new = np.zeros(n, bool)
     new[1:] = SPACE_SYMBOLS[syms[:-1]]
     new[begins] = True
-    words = np.flatnonzero(new)
-    in_word = np.arange(n) - since(words, words)
-    new[1:] = (syms[:-1] >= 0x80) & (syms[:-1] < END)
-    high = new.copy()
+    # symbols of the word before each, up to WORD_REACH: one for each k of which the last k + 1 symbols begin no word
+    in_word, near = (~new).view(np.uint8), new.copy()
+    for k in range(1, WORD_REACH):
+        near[k:] |= new[:-k]
+        in_word += ~near
+    high = np.zeros(n, bool)
+    high[1:] = (syms[:-1] >= 0x80) & (syms[:-1] < END)
+    new = high.copy()
     new[begins] = True
     places = np.flatnonzero(new)
     told = high[places]
     told[0] = False
-    hint = since(places, np.where(told, BYTE_VALUES[byte[places - 1].astype(np.int64)], np.uint64(0)))
-    seen = (last & reach[2], last & reach[4], last & reach[np.minimum(in_word, WORD_REACH)])
-    odd = (np.uint64(b) for b in BASES)
-    return [((x ^ hint) * m >> np.uint64(65 - n.bit_length())).astype(np.int64) for x, m, n in zip(seen, odd, SLOTS, strict=False)]
+    hint = np.repeat(np.where(told, BYTE_VALUES[byte[places + 7]], np.uint64(0)), np.diff(np.append(places, n)))
+    out = []
+    for seen, b, slots in zip((reach[2], reach[4], reach.take(in_word)), BASES, SLOTS, strict=False):
+        x = last & seen
+        x ^= hint
+        x *= np.uint64(b)
+        x >>= np.uint64(65 - slots.bit_length())
+        out.append(x.view(np.int64))
+    return out
 
 
 def gathered(train: DataFrame) -> DataFrame:
@@ -141,6 +141,7 @@ def gathered(train: DataFrame) -> DataFrame:
             yield told(which, key, cells[key])
 
     rows = train.select("text").mapInArrow(find, "which int, key long, n long")
+    rows = rows.repartition("which", "key")  # a task's keys are distinct nearly: nothing is gained by adding up before the shuffle
     return rows.groupBy("which", "key").agg(F.sum("n").alias("n"))
 
 
@@ -167,8 +168,11 @@ WORTH = np.where((np.arange(256) & 3)[:, None] == np.arange(4), LOGITS[:, None],
 IN_COLUMN = ((np.arange(256) & 3)[:, None] == np.arange(4)).astype(float)
 #: Beyond it a bit's probability is held, at LEAST_P from 0 and 1.
 MOST_LOGIT = np.float32(np.log(1 / LEAST_P - 1))
-#: Counts an error in sums of errors, which are far smaller: one sum then holds both.
-ONE = float(1 << 20)
+#: Counts an error in sums of errors, which are far smaller: one sum then holds both. Sums of errors times logits, which
+#: are multiples of a quarter, are under ONE / 8 too: a block has at most BLOCK * 256 bits, and logits are 8 at most.
+ONE = float(1 << 22)
+#: Sums for each kind to sums by confidence: of errors times logits, and of errors.
+TO_SUMS = np.hstack((WORTH, IN_COLUMN))
 
 
 def huffman(weights: np.ndarray) -> list[list[tuple[int, int]]]:
@@ -257,7 +261,7 @@ def log2_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarr
 
 
 def symbol_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
-    """Log2 of each symbol's probability. Texts go by side by side, a block of each at a time.
+    """Log2 of each symbol's probability. Texts go by side by side, a block of each of SIDE_TEXTS at a time.
 
     Within a block a text's weights stand still, so a table's entry (256 kinds) adds the same for every bit of the text,
     and the gradient needs only the sum of errors for each kind.
@@ -269,24 +273,30 @@ def symbol_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.nda
     turn = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
     # of each turn, texts with more blocks to come are first: the others' weights aren't needed again
     order = np.lexsort((-number[owner], turn))
-    slots = contexts(syms, offsets)
+    parts = np.unique(np.append(np.searchsorted(offsets, np.arange(0, len(syms), STEP_BYTES)), n))
+    parts = [contexts(syms[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in pairwise(parts.tolist())]
+    slots = [np.concatenate([x.astype(np.int32) for x in part]) for part in zip(*parts, strict=True)]
     signs = np.where(model.bits, np.float32(1), np.float32(-1))
     weights = np.repeat(START[:, None, :], n, axis=1)
     score = np.zeros(len(syms))
-    for k, blocks in enumerate(np.split(order, np.flatnonzero(np.diff(turn[order])) + 1)):
-        texts = owner[blocks]
+    turns = np.append(np.flatnonzero(np.diff(turn[order], prepend=-1)), len(order)).tolist()
+    steps = [(k, at, min(at + SIDE_TEXTS, end)) for k, (begin, end) in enumerate(pairwise(turns)) for at in range(begin, end, SIDE_TEXTS)]
+    for k, begin, end in steps:
+        texts = owner[order[begin:end]]
         held = np.minimum(symbols_of[texts] - k * BLOCK, BLOCK)
         first = np.cumsum(held) - held
         at = np.arange(held.sum()) + np.repeat(offsets[texts] + k * BLOCK - first, held)
         s = syms[at]
         size = model.length[s]
-        path = np.arange(size.sum()) + np.repeat(model.first[s] - (np.cumsum(size) - size), size)
+        begin = np.cumsum(size) - size
+        path = np.repeat(model.first[s] - begin, size)
+        path += np.arange(len(path))
         node, sign = model.nodes.take(path), signs.take(path)
         bits = np.add.reduceat(size, first)
         entry = np.repeat(np.arange(len(texts)) << 8, bits)
         x, kinds = np.zeros(len(path), np.float32), []
         for w, cells, slot in zip(weights, model.tables, slots, strict=True):
-            kind = np.repeat(slot[at] << 8, size)
+            kind = np.repeat(slot.take(at).astype(np.int64) << 8, size)
             kind += node
             kind = entry + cells.take(kind)
             x += (w[texts] @ WORTH.T).ravel().take(kind)
@@ -298,22 +308,32 @@ def symbol_scores(syms: np.ndarray, offsets: np.ndarray, model: Model) -> np.nda
         np.exp(x, out=x)
         x += 1
         np.reciprocal(x, out=x)
-        score[at] = np.add.reduceat(np.log(x), np.cumsum(size) - size)
+        score[at] = np.add.reduceat(np.log(x), begin)
         more = int(np.count_nonzero(number[texts] > k + 1))
         if not more:
-            break
+            continue
         until = int(bits[:more].sum())
         error = np.subtract(1, x[:until], dtype=np.float64)
         error *= sign[:until]
         error += ONE
         for w, kind in zip(weights, kinds, strict=True):
-            both = np.bincount(kind[:until], error, more << 8).reshape(-1, 256)
-            counts = np.rint(both / ONE)
-            both -= counts * ONE
-            w[texts[:more]] += RATE * (both @ WORTH) / (counts @ IN_COLUMN + 64)
+            slope, errors = np.hsplit(np.bincount(kind[:until], error, more << 8).reshape(-1, 256) @ TO_SUMS, 2)
+            slope = slope - np.rint(slope / (ONE / 4)) * (ONE / 4)
+            w[texts[:more]] += RATE * slope / (np.rint(errors / ONE) + 64)
     return score / np.log(2)
 
 
+def sides(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The batches in slices of STEP_BYTES with symbol_scores, which were made for SIDE_BYTES together."""
+    for wide in cut(batches, most=SIDE_BYTES):
+        scores, done = symbol_scores(*symbols(*flat(wide.column("text"))), model), 0
+        for batch in cut([wide], most=STEP_BYTES):
+            offsets = flat(batch.column("text"))[1]
+            size = int(offsets[-1]) + batch.num_rows
+            yield batch, scores[done : done + size]
+            done += size
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """A row for each of docs, with a row number, and its scores without the counts of the words in `rare`.
 
@@ -325,11 +345,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, row = held.value, TaskContext.get().partitionId() << 40
         scale = m.total + (m.distinct + 1)
-        for batch in cut(batches, most=STEP_BYTES):
+        for batch, scores in sides(batches, m):
             data, offsets = flat(batch.column("text"))
             n = batch.num_rows
             syms, at = symbols(data, offsets)
-            until = np.append(0, np.cumsum(symbol_scores(syms, at, m)))
+            until = np.append(0, np.cumsum(scores))
             score = np.diff(until[at])
             starts, ends, at = word_bounds(data, offsets)
             key = Rolling(BYTE_VALUES[LOWER[data]], BASES[1])(starts, ends).view(np.int64)
@@ -345,8 +365,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             gains = np.zeros((n, len(SHARES)))
             if common.any():
                 odds, of = np.log2(m.head_counts / scale)[place[common]] - spelt[common], owner[common]
+                ratio, sure = np.exp2(np.minimum(odds, SURE)), np.flatnonzero(odds > SURE)
                 for k, share in enumerate(SHARES):
-                    gains[:, k] = np.bincount(of, np.logaddexp2(np.log2(1 - share), np.log2(share) + odds), n)
+                    gain = np.log2(1 - share + share * ratio)
+                    gain[sure] = odds[sure] + np.log2(share)
+                    gains[:, k] = np.bincount(of, gain, n)
             at = pa.array(np.concatenate(([0], np.cumsum(rare))).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
