@@ -200,6 +200,17 @@ def test_toxicity_odd_cases(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in by.items() if r["predicted"] == 0}
 
 
+def test_toxicity_sends_a_text_once(spark, monkeypatch):
+    sent = []
+    scored = toxicity.scored
+    monkeypatch.setattr(toxicity, "scored", lambda rows, *a: sent.append(rows) or scored(rows, *a))
+    given = [(1, "one"), (2, None), (None, ""), (3, "two")]
+    labels = spark.createDataFrame([(i, 0) for i in range(4)], "doc_id long, toxic int")
+    kept = without_toxic(docs(spark, given).withColumnRenamed("text", "Text"), labels)
+    assert sorted(map(str, kept.select("doc_id", "Text").collect())) == sorted(map(str, docs(spark, given).withColumnRenamed("text", "Text").select("doc_id", "Text").collect()))
+    assert sum(str(r).count("'two'") for r in sent[0].collect()) == 1
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["predicted"] for r in toxic_scores(docs(spark), none).collect()} == {0}

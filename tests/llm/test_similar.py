@@ -6,7 +6,7 @@ import numpy as np
 from corpus_pipeline import near_dedup
 from fixtures import DATA, TEXTS, docs, words_of
 
-from tramline.llm import similar
+from tramline.llm import common, repeats, similar
 from tramline.llm.common import Scratch, keyed_texts
 from tramline.llm.simhash import fingerprint
 
@@ -140,3 +140,23 @@ def test_near_copies_of_table(spark):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = [tuple(r) for r in table.select("doc_id", "text").collect()]
     assert kept(near_dedup(spark, table, sf_dir)) == plain_kept(texts)
+
+
+def test_workers_give_memory_back():
+    def anonymous() -> float:
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith("Anonymous:")) / 1024
+
+    pins = []
+
+    def work(batches):
+        repeats.powers_of(repeats.BASES[1], 10)
+        held = [np.ones(8_000) for _ in range(4000)]
+        pins.append(np.ones(8_000))  # what stays above the freed arrays
+        del held
+        yield from batches
+
+    before = anonymous()
+    assert list(common.tidy(work)([1, 2])) == [1, 2]
+    assert not repeats._powers
+    assert anonymous() < before + 100

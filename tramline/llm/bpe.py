@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tramline.llm.common import cut, doc_texts, flat, lists, table
+from tramline.llm.common import cut, doc_texts, flat, lists, table, tidy
 
 FILE = "word_bpe_49k.json"
 #: Encoded words that a Python worker remembers, and as many from before; as many runs without white space. Characters
@@ -212,6 +212,7 @@ def mapped(rows: DataFrame, path: str, columns: list[str], made: str, make: Call
         held = rows.sparkSession.sparkContext.broadcast(f.read())
     names = [x.split()[0] for x in made.split(", ")]
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = opened(held.value)
         for batch in cut(batches) if text else batches:

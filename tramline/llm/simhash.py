@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm.common import LOWER_BYTES, Scratch, cut, doc_texts, keyed_texts, same_doc, table, unpacked
+from tramline.llm.common import LOWER_BYTES, Scratch, cut, doc_texts, keyed_texts, same_doc, table, tidy, unpacked
 
 SHINGLE = 3
 SEED = 42
@@ -54,6 +54,7 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, columns: list[str], shingle: int = SHINGLE) -> DataFrame:
     """`columns` of docs, and the fingerprint of its text (without nulls) as a long `fp`."""
 
+    @tidy
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches):
             fps = [fingerprint(x.as_buffer().to_pybytes().translate(LOWER_BYTES).split(), shingle) for x in batch.column("text")]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import LOWER, Scratch, cut, flat, keyed_texts, lists, mixed, same_doc, unpacked, word_bounds
+from tramline.llm.common import LOWER, Scratch, cut, flat, keyed_texts, lists, mixed, same_doc, tidy, unpacked, word_bounds
 from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
 from tramline.llm import simhash
 from tramline.llm.simhash import components, fingerprints
@@ -72,6 +72,7 @@ def signatures(found: np.ndarray, at: np.ndarray) -> np.ndarray:
 def shingle_sets(docs: DataFrame, columns: list[str], whole: bool, shingle: int = SHINGLE) -> DataFrame:
     """`columns` of docs with k, a name of the text's set; n, its size; and its first shingles in order of hash. whole: all of them, and the signature."""
 
+    @tidy
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches):
             found, at = shingles(*flat(batch.column("text")), shingle)

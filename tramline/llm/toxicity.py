@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import cut, doc_texts, flat, id_crc32, mixed, table, word_bounds
+from tramline.llm.common import cut, doc_texts, flat, id_crc32, mixed, others, table, tidy, unpacked, word_bounds
 from tramline.llm.repeats import BASES, BYTE_VALUES, Rolling
 
 BUCKETS, SIZE = 1 << 18, 8
@@ -248,6 +248,7 @@ def sampled(docs: DataFrame, labels: DataFrame, held_out: str) -> DataFrame:
 def fitted(docs: DataFrame, labels: DataFrame, held_out: str) -> Net:
     """Trains on the bounded sample of the labelled rows that are not held out."""
 
+    @tidy
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if held:
@@ -267,6 +268,7 @@ def scored(rows: DataFrame, net: Net, columns: list[str]) -> DataFrame:
     """`columns` of rows, with score and predicted."""
     held = rows.sparkSession.sparkContext.broadcast(net)
 
+    @tidy
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         for batch in cut(batches):
@@ -293,9 +295,8 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, held_out: str = "crc % 5 =
 def without_toxic(docs: DataFrame, labels: DataFrame, held_out: str = "crc % 5 = 0") -> DataFrame:
     """The rows of docs that aren't predicted toxic, unchanged."""
     net = fitted(doc_texts(docs), labels, held_out)
-    rows = docs.withColumnsRenamed({c: "text" for c in docs.columns if c.lower() == "text"})
-    rows = rows.select(F.struct("*").alias("whole"), F.coalesce("text", F.lit("")).alias("text"))
-    return scored(rows, net, ["whole"]).filter("predicted = 0").select("whole.*")
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.struct(*others(docs)).alias("row"))  # the text once
+    return unpacked(scored(rows, net, ["text", "row"]).filter("predicted = 0"), docs)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
