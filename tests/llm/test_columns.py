@@ -8,18 +8,21 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from fixtures import DATA, PROSE, TEXTS, collected, docs, sha, table_texts
+from pyarrow import parquet
 from tokenizers import Tokenizer as Library
 
 import corpus_pipeline
 from tramline.llm import bpe, telephony
 from tramline.llm.bpe import Tokenizer, decoded, digests, encoded, op10_bpe, public_file
+from tramline.llm.common import Scratch
 from tramline.llm.mixture import exponent, measures, mixed_texts, mixture, op6_temperature_mixture, quotas, shares
 from tramline.llm.neighbours import nearest, op7_nearest_neighbours
 from tramline.llm.registry import ORACLES, QUERIES
 from tramline.llm.telephony import A, A_LAW, IMA_ADPCM, MU, MU_LAW, PCM, adpcm, opened, resample, resampled, stored, wave
-from tramline.llm.token_files import OP4_SQL, op4_token_counts, token_counts
+from tramline.llm.token_files import BLOCK_TOKENS, OP4_SQL, op4_token_counts, token_counts
 
 
 def payload(text: str | None) -> bytes:
@@ -109,6 +112,28 @@ def test_token_counts(spark):
     assert set(ORACLES) <= set(QUERIES)
 
 
+def test_token_blocks_are_held_a_few_at_once(spark):
+    texts = [(k, chr(97 + k) * BLOCK_TOKENS) for k in range(20)]  # a block and an end each, 40 MB of tokens in one task
+    got = token_counts(docs(spark, texts).coalesce(1))
+    assert collected(got) == [(k, BLOCK_TOKENS) for k, _ in sorted(texts, key=str)]
+    stored = [parquet.ParquetFile(p.removeprefix("file://")).metadata for p in got.inputFiles() if "/files/" in p]
+    groups = [m.row_group(k) for m in stored for k in range(m.num_row_groups)]
+    tokens = [g.column(c).total_uncompressed_size for g in groups for c in range(g.num_columns) if g.column(c).path_in_schema == "tokens"]
+    assert sum(tokens) > 20 * 2 * BLOCK_TOKENS and max(tokens) < (8 << 20) + 1000  # however well they compress
+
+
+def test_batches_of_a_kept_table(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = spark.range(40, numPartitions=1).selectExpr("id", "repeat('x', 1 << 20) AS text").mapInArrow(sizes, "n long")
+    seen = [r["n"] for r in Scratch(spark, "test").keep(rows, "sizes", 4 << 20).collect()]
+    assert sum(seen) > 40 << 20 and max(seen) < (5 << 20) + 1000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_mixture(spark):
     got = op6_temperature_mixture(spark, DATA)
     plan = got._jdf.queryExecution().executedPlan().toString()

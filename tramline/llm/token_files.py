@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Scratch, cut, doc_texts, flat, table
+from tramline.llm.common import Scratch, cut, doc_texts, flat, table, tidy
 
 #: Byte tokens: ids 0-255 are UTF-8 bytes, 256 ends a document.
 END_ID = 256
@@ -24,6 +24,19 @@ BLOCK_TOKENS = 1 << 20
 LIST_ROWS = 4096
 #: Blocks that one group of the prefix scan holds.
 SCAN_BLOCKS = 4096
+#: Bytes of blocks that are written, read or given to a worker at once; a larger block is a step of its own.
+STEP_BYTES = 8 << 20
+
+
+def stored_by(block_tokens: int) -> dict[str, str]:
+    """Options of Parquet for rows of whole blocks, so that a task holds STEP_BYTES of them at once.
+
+    Otherwise a page takes 100 rows before its size is looked at, a row group is cut by its compressed size, and a reader
+    makes batches of 4,096 rows, which may be all blocks of a task.
+    """
+    rows = max(1, STEP_BYTES // (2 * block_tokens))
+    limits = {"parquet.block.size": STEP_BYTES, "parquet.block.row.count.limit": rows, "parquet.page.row.count.limit": max(1, rows // 8)}
+    return {"parquet.enable.dictionary": "false", **{k: str(v) for k, v in limits.items()}}
 
 
 def written(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -59,7 +72,7 @@ def written(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
         if ids:
             yield row(None, ids)
 
-    return rows.mapInArrow(write, "file int, block long, tokens binary, first long, ids array<long>")
+    return rows.mapInArrow(tidy(write), "file int, block long, tokens binary, first long, ids array<long>")
 
 
 def scanned(blocks: DataFrame, end_id: int = END_ID) -> DataFrame:
@@ -79,7 +92,7 @@ def scanned(blocks: DataFrame, end_id: int = END_ID) -> DataFrame:
                 names=["file", "block", "ends", "head", "tail", "inner"],
             )
 
-    return blocks.select("file", "block", "tokens").mapInArrow(scan, "file int, block long, ends long, head long, tail long, inner array<long>")
+    return blocks.select("file", "block", "tokens").mapInArrow(tidy(scan), "file int, block long, ends long, head long, tail long, inner array<long>")
 
 
 def stitched(blocks: DataFrame, scratch: Scratch) -> DataFrame:
@@ -89,7 +102,7 @@ def stitched(blocks: DataFrame, scratch: Scratch) -> DataFrame:
     groups of SCAN_BLOCKS blocks, then over the groups, so that no window holds a large file's blocks.
     """
     group = (F.col("block") / SCAN_BLOCKS).cast("long")
-    rows = scratch.keep(blocks.withColumn("part", group), "summaries")
+    rows = scratch.keep(blocks.withColumn("part", group), "summaries", STEP_BYTES)
     # tokens since the last end, after a run of blocks: those after the latest block with an end
     last = F.max(F.when(F.col("ends") > 0, F.col("block")))
     parts = rows.groupBy("file", "part").agg(F.sum("ends").alias("ends"), last.alias("at"), F.sum("head").alias("size"))
@@ -125,7 +138,7 @@ def token_counts(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
     Null text counts as empty and has 0 tokens; null ids and repeated rows stay; ids are longs.
     """
     scratch = Scratch(docs.sparkSession, "tokens")
-    files = scratch.keep(written(docs, block_tokens), "files")
+    files = scratch.keep(written(docs, block_tokens), "files", STEP_BYTES, **stored_by(block_tokens))
     found = stitched(scanned(files.filter("tokens IS NOT NULL")), scratch)
     listed = files.filter("ids IS NOT NULL").select("file", "first", F.posexplode("ids").alias("k", "doc_id"))
     return listed.select("file", (F.col("first") + F.col("k")).alias("number"), "doc_id").join(found, ["file", "number"]).select("doc_id", "n_tokens")
