@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tramline.operators import bottlenecks, bunching, extensions, predictions, quality, stats
 from tramline.operators.asof import latest_before
@@ -244,6 +245,26 @@ def test_near_vehicles_against_all_pairs(spark):
     assert " round(" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_crowd_is_dealt_over_tasks(spark):
+    """A route and hour of many vehicles on two bands of latitude: each near pair once, and no task has all of them."""
+    rng = random.Random(4)
+    spots = [(f"v{k}", "r", at(0), 42 + rng.random() / 1500, -71 - rng.random() / 1500) for k in range(1500)]
+    spots += [(None, "r", at(0), 42.0003, -71.0003)]  # paired with nothing, as in SQL
+    schema = "vehicle_id string, route_id string, timestamp timestamp, lat double, lon double"
+    lat, lon = (np.array([s[k] for s in spots[:-1]]) for k in (3, 4))
+    middle = np.radians((lat[:, None] + lat) / 2)
+    meters = np.hypot((lat[:, None] - lat) * 111_320, (lon[:, None] - lon) * 111_320 * np.cos(middle))
+    expected = {tuple(sorted((f"v{i}", f"v{k}"))) for i, k in zip(*np.nonzero(np.triu(meters <= 40, 1)), strict=True)}
+    few = spark.createDataFrame(spots, schema)
+    for crowd in (1500, 400, 37):
+        got = [(r["vehicle_a"], r["vehicle_b"]) for r in extensions.bunching(few, 40, 3600, crowd).select("vehicle_a", "vehicle_b").collect()]
+        assert len(got) == len(expected) > 100_000 and set(got) == expected
+
+    many = spark.range(6000).selectExpr("concat('v', id) AS vehicle_id", "'r' AS route_id", "timestamp'2024-01-01' AS timestamp", "42.0001D AS lat", "-71 - id / 1e6D AS lon")
+    by = [r["count"] for r in extensions.bunching(many, 40, 3600).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(by) == sum(min(483, 5999 - k) for k in range(6000)) and max(by) < 0.9 * sum(by)  # one task had all of them
+
+
 # bottlenecks
 
 
